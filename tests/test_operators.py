@@ -1,0 +1,193 @@
+"""Unit tests on a few literal rows per operator (edge cases of SURVEY §5.1)."""
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from shoplens.operators import behaviour as B
+from shoplens.operators import prep as P
+from shoplens.operators import sentiment as R
+from shoplens.operators import weather as W
+from shoplens.schemas import SHOP_EVENTS
+
+EV_COLS = [f.name for f in SHOP_EVENTS.fields]
+
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, SHOP_EVENTS)
+
+
+def ev(t="2019-10-01 10:00:00 UTC", et="purchase", pid=1, cat="electronics.phone", price=10.0, user=1,
+       session="s1"):
+    return (t, et, pid, 100, cat, "brand", price, user, session)
+
+
+def test_prepare_parses_time_and_calendar(spark):
+    df = P.prepare_events(events(spark, [ev(t="2019-10-06 21:15:00 UTC"), ev(t="not a time")]))
+    rows = df.collect()
+    assert len(rows) == 1  # unparsable time dropped
+    r = rows[0]
+    assert (r.event_hour, r.event_weekday, r.event_month) == (21, 1, 10)  # Sunday = 1
+    assert r.event_date == dt.date(2019, 10, 6)
+    assert r.category_top == "electronics"
+
+
+def test_category_top_null_and_no_dot(spark):
+    df = P.prepare_events(events(spark, [ev(cat=None), ev(cat="appliances")]))
+    assert sorted([r.category_top for r in df.collect()], key=str) == [None, "appliances"]
+
+
+def test_required_fields(spark):
+    df = P.prepare_events(events(spark, [ev(et=None), ev(pid=None), ev()]))
+    assert df.count() == 1
+
+
+def test_bot_filter_threshold_and_null_sessions(spark):
+    rows = [ev(session="bot", user=i) for i in range(501)]
+    rows += [ev(session="edge", user=i) for i in range(500)]
+    rows += [ev(session=None), ev(session="ok")]
+    out = P.clean_events(events(spark, rows))  # default max 500
+    counts = {r.user_session: r.c for r in out.groupBy("user_session").agg(F.count("*").alias("c")).collect()}
+    assert counts == {"edge": 500, "ok": 1}  # 501 removed, exactly 500 kept, null session vanishes
+
+
+def test_funnel_zero_views_gives_double_zero(spark):
+    df = P.clean_events(events(spark, [ev(et="cart"), ev(et="purchase")]))
+    r = B.conversion_funnel(df).collect()[0]
+    assert (r.total_events, r.views, r.carts, r.purchases) == (2, 0, 1, 1)
+    assert r.cart_conversion_rate == 0.0 and isinstance(r.cart_conversion_rate, float)
+
+
+def test_funnel_rates_half_up(spark):
+    # 1 cart / 8 views = 12.5 %, 2 purchases / 3 views -> 66.67
+    rows = [ev(et="view", session=f"v{i}") for i in range(8)] + [ev(et="cart", session="c")]
+    r = B.conversion_funnel(P.clean_events(events(spark, rows))).collect()[0]
+    assert r.cart_conversion_rate == 12.5
+    rows = [ev(et="view", session=f"v{i}") for i in range(3)] + [ev(session=f"p{i}") for i in range(2)]
+    r = B.conversion_funnel(P.clean_events(events(spark, rows))).collect()[0]
+    assert r.purchase_conversion_rate == 66.67
+
+
+def test_category_rank_ties_and_share(spark):
+    rows = [ev(cat="a.x", price=10.0, session="1"), ev(cat="b.y", price=10.0, session="2"),
+            ev(cat="c.z", price=5.0, session="3"), ev(cat=None, price=100.0, session="4")]
+    out = {r.category_top: r for r in B.category_behaviour(P.clean_events(events(spark, rows))).collect()}
+    assert set(out) == {"a", "b", "c"}  # null category removed before rank and total
+    assert (out["a"].revenue_rank, out["b"].revenue_rank, out["c"].revenue_rank) == (1, 1, 3)
+    assert (out["a"].revenue_share_pct, out["c"].revenue_share_pct) == (40.0, 20.0)
+
+
+def test_weekday_names(spark):
+    df = spark.createDataFrame([(i,) for i in range(1, 8)], "d int")
+    names = [r[0] for r in df.select(B.weekday_name("d")).collect()]
+    assert names == ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
+def test_peak_hours_window(spark):
+    rows = [ev(t=f"2019-10-01 {h:02d}:00:00 UTC", session=f"{h}-{i}") for h, n in [(3, 2), (19, 3), (20, 3), (23, 5)]
+            for i in range(n)]
+    r = B.peak_hours(P.clean_events(events(spark, rows)), 2).collect()
+    assert len(r) == 1 and (r[0].peak_start_hour, r[0].peak_end_hour, r[0].window_purchases) == (19, 21, 6)
+
+
+def reviews(spark, rows):
+    return spark.createDataFrame(rows, "rating double, title string, text string, asin string, "
+                                       "timestamp long, helpful_vote long, verified_purchase boolean")
+
+
+def test_clean_reviews_rules(spark):
+    rows = [
+        (5.0, None, "Great product!!", "a", 1577836800000, 1, True),     # null title
+        (None, "t", "no rating here at all", "a", 0, 0, None),           # null rating dropped
+        (0.0, "t", "rating zero out of range", "a", 0, 0, None),         # out of range
+        (6.0, "t", "rating six out of range", "a", 0, 0, None),
+        (2.5, "x", "half star gets positive", "a", 0, 0, None),          # 2.5 -> label 2
+        (3.0, "abcd", "efgh", "a", 0, 0, None),                          # "abcd efgh" = 9 chars
+        (3.0, "abcd", "efghi", "a", 0, 0, None),                         # 10 chars kept
+        (1.0, "Café", "é 12 ça va", "a", None, 0, False),                 # accents deleted
+    ]
+    out = P.clean_reviews(reviews(spark, rows)).orderBy("review_clean").collect()
+    cleaned = {r.review_clean: r for r in out}
+    assert " great product" in cleaned
+    assert cleaned[" great product"].review_date == dt.date(2020, 1, 1)
+    assert "x half star gets positive" in cleaned and cleaned["x half star gets positive"].sentiment_label == 2
+    assert "abcd efghi" in cleaned and "abcd efgh" not in cleaned
+    assert cleaned["abcd efghi"].sentiment_label == 1
+    assert "caf   a va" in cleaned and cleaned["caf   a va"].review_date is None
+    assert len(out) == 4
+    assert {r.category for r in out} == {"Electronics"}
+
+
+def test_keywords_stopwords_length_and_ties(spark):
+    rows = [(5.0, "", "apple apple banana banana cherry the these would", "a", 0, 0, None),
+            (1.0, "", "broken broken waste", "a", 0, 0, None),
+            (3.0, "", "neutral neutral words", "a", 0, 0, None)]
+    kw = R.top_keywords(P.clean_reviews(reviews(spark, rows)), 2).collect()
+    got = sorted((r.sentiment_group, r.word, r.frequency) for r in kw)
+    # "these"/"would" are stop words, "the" too short; apple/banana tie -> both, cherry cut
+    assert got == [("negative", "broken", 2), ("negative", "waste", 1),
+                   ("positive", "apple", 2), ("positive", "banana", 2)]
+
+
+def test_rating_percentages_sum(spark):
+    rows = [(float(r), "", "long enough text", "a", 0, 0, None) for r in (1, 2, 2, 5, 5, 5)]
+    out = {r.rating: r.percentage for r in R.rating_distribution(P.clean_reviews(reviews(spark, rows))).collect()}
+    assert out == {1.0: 16.67, 2.0: 33.33, 5.0: 50.0}
+
+
+def weather(spark, rows):
+    return spark.createDataFrame(rows, "date date, city string, temperature double, precipitation double, "
+                                       "wind_speed double, humidity double")
+
+
+def test_sentinel_rain_and_buckets(spark):
+    d1, d2, d3 = dt.date(2019, 10, 1), dt.date(2019, 10, 2), dt.date(2019, 10, 3)
+    w = P.null_sentinel(weather(spark, [
+        (d1, "A", -999.0, 1.0, 3.0, 50.0),   # sentinel temp; precipitation exactly 1.0 is dry
+        (d1, "B", 10.0, None, 3.0, 50.0),    # null precipitation reads dry
+        (d2, "A", 0.0, 1.5, 3.0, 50.0),      # > 1.0 rainy
+        (d3, "A", 30.0, 0.0, 3.0, -999.0),
+    ]), ["temperature", "precipitation", "wind_speed", "humidity"])
+    daily = {r.date: r for r in W.daily_weather(w).collect()}
+    assert daily[d1].rain_day == 0 and daily[d1].avg_temperature == 10.0
+    assert daily[d2].rain_day == 1
+    assert daily[d3].avg_humidity is None
+    p = spark.createDataFrame([(d, 1, 1.0, 1, 1.0) for d in (d1, d2, d3)],
+                              "event_date date, purchase_count long, daily_revenue double, active_buyers long, "
+                              "avg_order_value double")
+    j = W.join_daily(p, W.daily_weather(w))
+    b = {r.temp_bucket: r.days_in_group for r in W.temperature_buckets(j).collect()}
+    assert b == {"mild": 1, "cold": 1, "hot": 1}  # 10 mild, 0 cold, 30 hot
+    nulls = weather(spark, [(d1, "A", None, 0.0, 1.0, 1.0)])
+    j2 = W.join_daily(p, W.daily_weather(nulls))
+    assert [r.temp_bucket for r in W.temperature_buckets(j2).collect()] == ["hot"]
+    assert [r.temp_bucket for r in W.temperature_buckets(j2, null_bucket="unknown").collect()] == ["unknown"]
+
+
+def test_correlation_constant_column_and_diagonal(spark):
+    rows = [(float(i), float(2 * i), 5.0, float(i % 3), float(-i), float(i * i)) for i in range(10)]
+    cols = ["purchase_count", "daily_revenue", "avg_temperature", "avg_precipitation", "avg_wind_speed",
+            "avg_humidity"]
+    df = spark.createDataFrame(rows + [(None, 1.0, 1.0, 1.0, 1.0, 1.0)], cols)
+    m = {(r.variable_1, r.variable_2): r.pearson_corr for r in W.correlation_matrix(df).collect()}
+    assert len(m) == 36
+    assert m[("purchase_count", "daily_revenue")] == 1.0
+    assert m[("purchase_count", "avg_wind_speed")] == -1.0
+    assert m[("avg_temperature", "avg_temperature")] == 1.0
+    assert math.isnan(m[("avg_temperature", "purchase_count")])
+
+
+def test_rain_gap_ratios(spark):
+    # published means 36,921 dry vs 24,241 rainy -> 34.34 % fewer, 52.31 % more
+    df = spark.createDataFrame([(0, 36921), (1, 24241)], "rain_day int, purchase_count long")
+    r = W.rain_gap(df).collect()[0]
+    assert (r.rainy_fewer_pct, r.dry_more_pct) == (34.34, 52.31)
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.3, 1.0])
+def test_hash_threshold_bounds(fraction):
+    from shoplens.functions.columns import HASH_SPACE, hash_threshold
+
+    assert 0 <= hash_threshold(fraction) <= HASH_SPACE
