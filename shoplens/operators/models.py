@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
@@ -60,8 +61,21 @@ def _attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def _split_sample(reviews: DataFrame, key: str, fractions: Mapping[int, float], label_col: str,
-                  train_fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
-    sample = stratified_sample(reviews, label_col, fractions, key, seed)
+                  train_fraction: float, seed: int, text_col: str = "review_clean") -> tuple[DataFrame, DataFrame]:
+    """Sample, keep only the columns the model and the report need, and
+    persist that sample: the IDF fit, the regression passes, the test
+    transform and the accuracy all read it, as Spark ML's own estimators
+    persist uncached input. Its size is the sample, not the corpus; blocks
+    lost with an executor are recomputed from lineage. The sample is spread
+    by key over the cluster's default parallelism, so the fits use every
+    core however few files the input had."""
+    parallelism = reviews.sparkSession.sparkContext.defaultParallelism
+    sample = (
+        stratified_sample(reviews, label_col, fractions, key, seed)
+        .select(key, "rating", label_col, "category", text_col)
+        .repartition(parallelism, key)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     return split_train_test(sample, key, train_fraction, seed)
 
 

@@ -191,7 +191,7 @@ clean_reviews AS (
   SELECT *, CAST(CASE WHEN rating <= 2 THEN 0 WHEN rating = 3 THEN 1 ELSE 2 END AS INTEGER) AS sentiment_label,
          CAST(epoch_ms(timestamp) AS DATE) AS review_date, '{DEFAULT.review_category}' AS category
   FROM (
-    SELECT *, regexp_replace(lower(review_text), '[^a-zA-Z \\t\\n\\x0B\\f\\r]', '', 'g') AS review_clean
+    SELECT *, regexp_replace(lower(review_text), '[^a-zA-Z \\t\\n\\x0B\\f\\r]+', '', 'g') AS review_clean
     FROM (SELECT *, concat_ws(' ', coalesce(title, ''), coalesce(text, '')) AS review_text FROM reviews)
   )
   WHERE rating IS NOT NULL AND review_clean IS NOT NULL AND length(review_clean) >= {DEFAULT.min_review_length}

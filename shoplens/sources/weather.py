@@ -24,24 +24,32 @@ def flatten_weather_payload(
 ) -> DataFrame:
     """S4 + S5 + S6: one row per (city, date) with the four measures.
 
-    Rows are independent (one payload per city and request), so this is a
-    narrow ``from_json`` + ``explode`` — no shuffle."""
+    Narrow (no shuffle): each payload is parsed once, its parameter maps are
+    merged key by key with ``map_zip_with`` (a hash merge, linear in the
+    map size) into one map date → struct of measures, and only that map is
+    exploded. Keys come from the first parameter; a key missing from
+    another parameter, or a missing parameter, gives null."""
     params = F.from_json(F.col(payload_col), WEATHER_PAYLOAD)["properties"]["parameter"]
-    first = WEATHER_PARAMETERS[0][0]
-    keyed = payloads.select(
+    (first_code, first_name), rest = WEATHER_PARAMETERS[0], WEATHER_PARAMETERS[1:]
+    merged = F.transform_values(
+        F.try_element_at(params, F.lit(first_code)), lambda k, v: F.struct(v.alias(first_name))
+    )
+    empty = F.create_map().cast("map<string,double>")
+
+    def add_field(name: str):
+        return lambda k, a, b: F.when(a.isNotNull(), a.withField(name, b))
+
+    for code, name in rest:
+        other = F.coalesce(F.try_element_at(params, F.lit(code)), empty)
+        merged = F.map_zip_with(merged, other, add_field(name))
+    rows = payloads.select(
         F.col(city_col).alias("city"),
-        params.alias("__p"),
-        F.explode(F.map_keys(F.try_element_at(params, F.lit(first)))).alias("__day"),
+        F.explode(F.map_filter(merged, lambda k, v: v.isNotNull())).alias("__day", "__m"),
     )
-    measures = {
-        name: F.nullif(F.try_element_at(F.try_element_at(F.col("__p"), F.lit(code)), F.col("__day")),
-                       F.lit(sentinel))
-        for code, name in WEATHER_PARAMETERS
-    }
-    return keyed.select(
+    return rows.select(
         "city",
         F.to_date(F.col("__day"), DATE_KEY_FORMAT).alias("date"),
-        *[v.alias(k) for k, v in measures.items()],
+        *[F.nullif(F.col("__m")[name], F.lit(sentinel)).alias(name) for _, name in WEATHER_PARAMETERS],
     )
 
 
