@@ -180,25 +180,23 @@ def peak_hours(df: DataFrame, width: int = 2) -> DataFrame:
     purchases; ties go to the earliest start.
 
     Each of the ≤ 24 hourly counts is added to every window start that
-    covers it, so windows with no purchases never need a spine of hours."""
+    covers it, so windows with no purchases never need a spine of hours.
+    After the hourly aggregate everything runs on at most 24 rows."""
     hourly = purchases(df).filter(F.col("event_hour").isNotNull()).groupBy("event_hour").agg(
         F.count(F.lit(1)).alias("n")
     )
+    hourly = with_grand_total(hourly, "n", "__all")
     h = F.col("event_hour")
     starts = F.sequence(F.greatest(h - (width - 1), F.lit(0)), F.least(h, F.lit(24 - width)))
     windows = (
-        hourly.select(F.explode(starts).alias("peak_start_hour"), "n")
+        hourly.select(F.explode(starts).alias("peak_start_hour"), "n", "__all")
         .groupBy("peak_start_hour")
-        .agg(F.sum("n").alias("window_purchases"))
+        .agg(F.sum("n").alias("window_purchases"), F.max("__all").alias("__all"))
     )
-    total = hourly.agg(F.sum("n").alias("__all")).withColumn("__k", F.lit(0))
-    # ≤ 24 candidate windows: this window sees only the per-start sums
     best = Window.orderBy(F.col("window_purchases").desc(), F.col("peak_start_hour"))
     return (
         windows.withColumn("__rn", F.row_number().over(best))
         .filter(F.col("__rn") == 1)
-        .withColumn("__k", F.lit(0))
-        .join(F.broadcast(total), "__k")
         .select(
             "peak_start_hour",
             (F.col("peak_start_hour") + width).alias("peak_end_hour"),

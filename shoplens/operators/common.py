@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY = "__total_key"
 
+def with_grand_total(grouped: DataFrame, measure: str | Column, alias: str) -> DataFrame:
+    """Attach ``sum(measure)`` over all rows of an *aggregated* result.
 
-def with_grand_total(df: DataFrame, measure: str | Column, alias: str) -> DataFrame:
-    """Attach ``sum(measure)`` over all rows of ``df`` as column ``alias``.
-
-    The total is a one-row aggregate, broadcast into an equi-join on a
-    constant key: its size is exactly one row, no row of ``df`` moves to a
-    single task, and nothing is collected to the driver. Spark reuses the
-    shuffle under ``df`` for both branches."""
+    Use only after a groupBy whose number of groups is small and bounded by
+    the domain (ratings, flags, top-level categories, hours): the window
+    moves just those rows to one task and reads them once, instead of a
+    second pass over the raw input."""
     m = F.col(measure) if isinstance(measure, str) else measure
-    total = df.agg(F.sum(m).alias(alias)).withColumn(_KEY, F.lit(0))
-    return df.withColumn(_KEY, F.lit(0)).join(F.broadcast(total), _KEY).drop(_KEY)
+    return grouped.withColumn(alias, F.sum(m).over(Window.partitionBy()))
+
+
+def size_at_most(df: DataFrame, rows: int) -> bool:
+    """True when ``df`` has at most ``rows`` rows. Counting stops early
+    past the bound (``limit``), so a large ``df`` is not counted in full."""
+    return df.limit(rows + 1).count() <= rows

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.columns import calendar_fields, parse_event_time, sentiment_label, top_level
 from ..functions.text import clean_text, review_text
 from ..settings import DEFAULT, EVENT_TIME_FORMAT, REVIEW_CATEGORY
+from .common import size_at_most
 
 
 def prepare_events(
@@ -44,15 +46,28 @@ def session_sizes(df: DataFrame, key: str = "user_session") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def drop_bot_sessions(df: DataFrame, key: str = "user_session", max_events: int = 500) -> DataFrame:
+def drop_bot_sessions(
+    df: DataFrame,
+    key: str = "user_session",
+    max_events: int = 500,
+    broadcast_rows: int | None = 1_000_000,
+) -> DataFrame:
     """Keep events whose session has at most ``max_events`` events.
 
-    Rows with a null session vanish, as in an inner join on the key. Written
-    as a left-semi join against the surviving keys: the semi join never
-    duplicates rows, and AQE can split a skewed session partition on the
-    event side."""
-    keep = session_sizes(df, key).filter(F.col("event_count") <= max_events).select(key)
-    return df.filter(F.col(key).isNotNull()).join(keep, key, "left_semi")
+    Rows with a null session vanish, as in an inner join on the key.
+    Written as an anti join against the *bot* sessions (count above the
+    threshold), which are few: when a size check shows at most
+    ``broadcast_rows`` of them, that small key set is persisted and
+    broadcast, and the events are filtered where they lie — no shuffle of
+    the events by session, and a giant session costs nothing extra. Above
+    the bound the anti join stays a sort-merge join, whose skewed session
+    partitions AQE splits. ``broadcast_rows=None`` skips the check."""
+    bots = session_sizes(df, key).filter(F.col("event_count") > max_events).select(key)
+    if broadcast_rows is not None:
+        bots = bots.persist(StorageLevel.MEMORY_AND_DISK)
+        if size_at_most(bots, broadcast_rows):
+            bots = F.broadcast(bots)
+    return df.filter(F.col(key).isNotNull()).join(bots, key, "left_anti")
 
 
 def clean_events(
