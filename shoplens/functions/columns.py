@@ -28,6 +28,12 @@ def parse_event_time(c: str | Column, fmt: str, is_string: bool) -> Column:
     return F.try_to_timestamp(c, F.lit(fmt)) if is_string else c
 
 
+# S5 -------------------------------------------------------------------------
+def parse_compact_date(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
+    """``yyyyMMdd`` text → date (null when unparsable)."""
+    return F.to_date(col(c), fmt)
+
+
 # P3 -------------------------------------------------------------------------
 def calendar_fields(ts: str | Column) -> dict[str, Column]:
     ts = col(ts)
@@ -100,6 +106,15 @@ def money_sum(c: str | Column, money_type: str) -> Column:
     return F.sum(money(c, money_type))
 
 
+def distinct_count(c: str | Column, approx_rsd: float | None = None) -> Column:
+    """Exact ``count(DISTINCT c)`` by default; with ``approx_rsd`` a
+    HyperLogLog++ estimate with that relative standard deviation (fixed
+    memory per group, no second aggregation level)."""
+    if approx_rsd is None:
+        return F.countDistinct(col(c))
+    return F.approx_count_distinct(col(c), approx_rsd)
+
+
 def as_double(c: str | Column) -> Column:
     return col(c).cast("double")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (
     as_double,
+    distinct_count,
     exact_mean,
     money,
     pct_half_up,
@@ -48,11 +49,12 @@ def bot_filtered_sessions(df: DataFrame, key: str = "user_session", max_events:
     return session_sizes(df, key).withColumn("is_bot", F.col("event_count") > max_events)
 
 
-def event_distribution(df: DataFrame) -> DataFrame:
-    """A1: events and distinct users per event type, most frequent first."""
+def event_distribution(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """A1: events and distinct users per event type (exact unless
+    ``approx_rsd`` is given)."""
     return (
         df.groupBy("event_type")
-        .agg(F.count(F.lit(1)).alias("event_count"), F.countDistinct("user_id").alias("unique_users"))
+        .agg(F.count(F.lit(1)).alias("event_count"), distinct_count("user_id", approx_rsd).alias("unique_users"))
     )
 
 
@@ -78,7 +80,7 @@ def conversion_funnel(df: DataFrame) -> DataFrame:
     )
 
 
-def category_behaviour(df: DataFrame, money_type: str = MONEY) -> DataFrame:
+def category_behaviour(df: DataFrame, money_type: str = MONEY, approx_rsd: float | None = None) -> DataFrame:
     """A3 + W1 + W2: purchases per top-level category (null category removed
     before rank and total), revenue rank (ties share a rank) and share of
     all revenue in %, 2 dp.
@@ -93,7 +95,7 @@ def category_behaviour(df: DataFrame, money_type: str = MONEY) -> DataFrame:
             F.count(F.lit(1)).alias("total_purchases"),
             F.sum(money("price", money_type)).alias("__rev"),
             F.count("price").alias("__n_priced"),
-            F.countDistinct("user_id").alias("unique_buyers"),
+            distinct_count("user_id", approx_rsd).alias("unique_buyers"),
         )
     )
     stats = with_grand_total(stats, "__rev", "__total")
@@ -109,6 +111,11 @@ def category_behaviour(df: DataFrame, money_type: str = MONEY) -> DataFrame:
     )
 
 
+def top_ranked(category_stats: DataFrame, n: int = 10) -> DataFrame:
+    """Categories ranked within the top ``n`` (ties included)."""
+    return category_stats.filter(F.col("revenue_rank") <= n)
+
+
 def top_categories(category_stats: DataFrame, n: int = 10) -> DataFrame:
     """L4 / V1: the n categories with most revenue (ties by name)."""
     return (
@@ -138,12 +145,12 @@ def daily_patterns(df: DataFrame, money_type: str = MONEY) -> DataFrame:
     return _finish_revenue(agg, "total_revenue", None).withColumn("weekday_name", weekday_name("event_weekday"))
 
 
-def daily_trend(df: DataFrame, money_type: str = MONEY) -> DataFrame:
+def daily_trend(df: DataFrame, money_type: str = MONEY, approx_rsd: float | None = None) -> DataFrame:
     """Purchases, revenue and distinct buyers per calendar day."""
     agg = purchases(df).groupBy("event_date").agg(
         F.count(F.lit(1)).alias("daily_purchases"),
         *_revenue_aggs("price", money_type),
-        F.countDistinct("user_id").alias("active_buyers"),
+        distinct_count("user_id", approx_rsd).alias("active_buyers"),
     )
     return _finish_revenue(agg, "daily_revenue", None)
 

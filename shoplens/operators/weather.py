@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (
     as_double,
+    distinct_count,
     exact_mean,
     money,
     rain_flag,
@@ -31,14 +32,14 @@ CORRELATION_COLUMNS: tuple[str, ...] = (
 )
 
 
-def daily_purchases(events: DataFrame, money_type: str = MONEY) -> DataFrame:
+def daily_purchases(events: DataFrame, money_type: str = MONEY, approx_rsd: float | None = None) -> DataFrame:
     """Purchases per day — count, revenue, distinct buyers, mean order
     value. No bot filter (published behaviour); null dates dropped."""
     p = events.filter((F.col("event_type") == "purchase") & F.col("event_date").isNotNull())
     agg = p.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("purchase_count"),
         F.sum(money("price", money_type)).alias("__rev"),
-        F.countDistinct("user_id").alias("active_buyers"),
+        distinct_count("user_id", approx_rsd).alias("active_buyers"),
         F.count("price").alias("__n_priced"),
     )
     return agg.select(

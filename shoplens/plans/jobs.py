@@ -25,6 +25,28 @@ from ..sinks import write_csv, write_results
 from ..sources import files
 
 
+# L1: presentation order of each result, applied only at the outermost step
+# (CSV export); operators and the result store stay unordered.
+ORDER: dict[str, list] = {
+    "event_distribution": [F.desc("event_count")],
+    "category_behaviour": ["revenue_rank", "category_top"],
+    "hourly_patterns": ["event_hour"],
+    "daily_patterns": ["event_weekday"],
+    "daily_trend": ["event_date"],
+    "rating_distribution": ["rating"],
+    "monthly_trend": ["year_month"],
+    "top_keywords": ["sentiment_group", F.desc("frequency"), "word"],
+    "daily_joined_data": ["event_date"],
+    "correlation_matrix": ["variable_1", "variable_2"],
+    "rain_analysis": ["rain_day"],
+}
+
+
+def ordered(df: DataFrame, label: str) -> DataFrame:
+    spec = ORDER.get(label)
+    return df.orderBy(*spec) if spec else df
+
+
 def _sink(results: dict[str, DataFrame], store: str | None, csv: dict[str, str], csv_dir: str | None,
           settings: Settings) -> None:
     if store:
@@ -32,7 +54,7 @@ def _sink(results: dict[str, DataFrame], store: str | None, csv: dict[str, str],
             write_results(df, store, label, settings.result_row_cap)
     if csv_dir:
         for label, name in csv.items():
-            write_csv(results[label], f"{csv_dir.rstrip('/')}/{name}")
+            write_csv(ordered(results[label], label), f"{csv_dir.rstrip('/')}/{name}")
 
 
 def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str = "csv",
@@ -45,13 +67,14 @@ def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str
         P.clean_events(raw, max_events=settings.max_session_events, time_format=settings.event_time_format),
         "clean_events", run_id,
     )
+    rsd = settings.distinct_rsd
     results = {
-        "event_distribution": B.event_distribution(clean),
+        "event_distribution": B.event_distribution(clean, rsd),
         "conversion_funnel": B.conversion_funnel(clean),
-        "category_behaviour": B.category_behaviour(clean, settings.money_type),
+        "category_behaviour": B.category_behaviour(clean, settings.money_type, rsd),
         "hourly_patterns": B.hourly_patterns(clean, settings.money_type),
         "daily_patterns": B.daily_patterns(clean, settings.money_type),
-        "daily_trend": B.daily_trend(clean, settings.money_type),
+        "daily_trend": B.daily_trend(clean, settings.money_type, rsd),
     }
     _sink(results, store, {
         "category_behaviour": "analysis1_category_stats", "daily_trend": "analysis1_daily_trend",
@@ -106,7 +129,7 @@ def weather_job(spark: SparkSession, events_path: str | list[str], weather_path:
     weather = P.null_sentinel(files.read_weather(spark, weather_path, weather_fmt),
                               list(W.MEASURES), settings.weather_sentinel)
     joined = stage_table(
-        W.join_daily(W.daily_purchases(events, settings.money_type),
+        W.join_daily(W.daily_purchases(events, settings.money_type, settings.distinct_rsd),
                      W.daily_weather(weather, settings.rain_threshold)),
         "daily_joined", run_id,
     )

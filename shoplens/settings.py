@@ -117,6 +117,8 @@ class Settings:
     regression_reg_param: float = 0.01
     # money is summed exactly in this type, then reported as double
     money_type: str = "decimal(18,2)"
+    # None: exact distinct counts; a number: HyperLogLog++ with that rsd
+    distinct_rsd: float | None = None
     # result store
     result_row_cap: int | None = None
 

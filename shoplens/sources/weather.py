@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import parse_compact_date
 from ..schemas import WEATHER_PAYLOAD
 from ..settings import CITIES, WEATHER_PARAMETERS, WEATHER_SENTINEL
 
@@ -48,7 +49,7 @@ def flatten_weather_payload(
     )
     return rows.select(
         "city",
-        F.to_date(F.col("__day"), DATE_KEY_FORMAT).alias("date"),
+        parse_compact_date("__day", DATE_KEY_FORMAT).alias("date"),
         *[F.nullif(F.col("__m")[name], F.lit(sentinel)).alias(name) for _, name in WEATHER_PARAMETERS],
     )
 

@@ -191,3 +191,40 @@ def test_hash_threshold_bounds(fraction):
     from shoplens.functions.columns import HASH_SPACE, hash_threshold
 
     assert 0 <= hash_threshold(fraction) <= HASH_SPACE
+
+
+def test_top_ranked_keeps_ties(spark):
+    rows = [ev(cat=f"c{i}.x", price=float(10 - min(i, 3)), session=str(i)) for i in range(6)]
+    stats = B.category_behaviour(P.clean_events(events(spark, rows)))
+    got = sorted(r.category_top for r in B.top_ranked(stats, 4).collect())
+    assert got == ["c0", "c1", "c2", "c3", "c4", "c5"]  # c3..c5 tie at rank 4
+    assert [r.category_top for r in B.top_ranked(stats, 1).collect()] == ["c0"]
+
+
+def test_approx_distinct_option(spark):
+    rows = [ev(user=i % 7, session=f"s{i}") for i in range(50)]
+    clean = P.clean_events(events(spark, rows))
+    exact = B.daily_trend(clean).first().active_buyers
+    approx = B.daily_trend(clean, approx_rsd=0.05).first().active_buyers
+    assert exact == 7 and abs(approx - 7) <= 1
+
+
+def test_verified_null_group_and_monthly(spark):
+    rows = [(5.0, "", "long enough text one", "a", 1577836800000, 0, True),
+            (3.0, "", "long enough text two", "a", 1580515200000, 0, None),
+            (1.0, "", "long enough text six", "a", 1580515200000, 0, None)]
+    clean = P.clean_reviews(reviews(spark, rows))
+    v = {r.verified_purchase: (r.review_count, r.avg_rating, r.percentage) for r in R.verified_stats(clean).collect()}
+    assert v == {True: (1, 5.0, 33.33), None: (2, 2.0, 66.67)}
+    m = {r.year_month: (r.review_count, r.avg_rating) for r in R.monthly_trend(clean).collect()}
+    assert m == {"2020-01": (1, 5.0), "2020-02": (2, 2.0)}
+
+
+def test_chart_weekday_order(spark):
+    from shoplens.operators import charts as V
+
+    rows = [ev(t=f"2019-10-0{d} 10:00:00 UTC", session=f"d{d}") for d in range(1, 8)]
+    out = V.chart_weekday(B.daily_patterns(P.clean_events(events(spark, rows)))).collect()
+    assert [r.weekday_name for r in out] == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
+                                             "Saturday", "Sunday"]
+    assert [r.is_weekend for r in out] == [False] * 5 + [True] * 2
