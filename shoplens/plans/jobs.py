@@ -9,6 +9,7 @@ cleaning and the bot-filter shuffle, and a lost executor costs a re-read.
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,17 +26,27 @@ from ..sinks import write_csv, write_results
 from ..sources import files
 
 
+log = logging.getLogger("shoplens.jobs")
+
+
+def _log_counts(job: str, counts: dict[str, int]) -> None:
+    """Rows at each staged step (the reference only logged them)."""
+    for stage, n in counts.items():
+        log.info("%s: %s = %d rows", job, stage, n)
+
+
 # L1: presentation order of each result, applied only at the outermost step
-# (CSV export); operators and the result store stay unordered.
-ORDER: dict[str, list] = {
-    "event_distribution": [F.desc("event_count")],
+# (CSV export); operators and the result store stay unordered. A leading
+# "-" sorts descending.
+ORDER: dict[str, list[str]] = {
+    "event_distribution": ["-event_count"],
     "category_behaviour": ["revenue_rank", "category_top"],
     "hourly_patterns": ["event_hour"],
     "daily_patterns": ["event_weekday"],
     "daily_trend": ["event_date"],
     "rating_distribution": ["rating"],
     "monthly_trend": ["year_month"],
-    "top_keywords": ["sentiment_group", F.desc("frequency"), "word"],
+    "top_keywords": ["sentiment_group", "-frequency", "word"],
     "daily_joined_data": ["event_date"],
     "correlation_matrix": ["variable_1", "variable_2"],
     "rain_analysis": ["rain_day"],
@@ -44,7 +55,9 @@ ORDER: dict[str, list] = {
 
 def ordered(df: DataFrame, label: str) -> DataFrame:
     spec = ORDER.get(label)
-    return df.orderBy(*spec) if spec else df
+    if not spec:
+        return df
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in spec])
 
 
 def _sink(results: dict[str, DataFrame], store: str | None, csv: dict[str, str], csv_dir: str | None,
@@ -63,10 +76,12 @@ def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str
     """RQ1: event distribution, funnel, categories, hourly / weekday / daily."""
     run_id = run_id or uuid.uuid4().hex
     raw = files.read_shop_events(spark, events_path, fmt)
+    counts: dict[str, int] = {}
     clean = stage_table(
         P.clean_events(raw, max_events=settings.max_session_events, time_format=settings.event_time_format),
-        "clean_events", run_id,
+        "clean_events", run_id, counts,
     )
+    _log_counts("behaviour", counts)
     rsd = settings.distinct_rsd
     results = {
         "event_distribution": B.event_distribution(clean, rsd),
@@ -95,11 +110,13 @@ def sentiment_job(spark: SparkSession, reviews_path: str | list[str], *, key: st
     if key is None:
         key = "review_key"
         raw = raw.withColumn(key, F.xxhash64("asin", "timestamp", "rating", "title", "text"))
+    counts: dict[str, int] = {}
     clean = stage_table(
         P.clean_reviews(raw, min_length=settings.min_review_length, min_rating=settings.min_rating,
                         max_rating=settings.max_rating, category=settings.review_category),
-        "clean_reviews", run_id,
+        "clean_reviews", run_id, counts,
     )
+    _log_counts("sentiment", counts)
     results = {
         "rating_distribution": R.rating_distribution(clean),
         "verified_stats": R.verified_stats(clean),
@@ -128,11 +145,13 @@ def weather_job(spark: SparkSession, events_path: str | list[str], weather_path:
                               time_format=settings.event_time_format, required=())
     weather = P.null_sentinel(files.read_weather(spark, weather_path, weather_fmt),
                               list(W.MEASURES), settings.weather_sentinel)
+    counts: dict[str, int] = {}
     joined = stage_table(
         W.join_daily(W.daily_purchases(events, settings.money_type, settings.distinct_rsd),
                      W.daily_weather(weather, settings.rain_threshold)),
-        "daily_joined", run_id,
+        "daily_joined", run_id, counts,
     )
+    _log_counts("weather", counts)
     results = {
         "daily_joined_data": joined,
         "correlation_matrix": W.correlation_matrix(joined),

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -27,6 +28,26 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_conf(shuffle_partitions: int = 2000, advisory_partition_mb: int = 128,
+                 max_partition_mb: int = 256) -> dict[str, str]:
+    """Settings these jobs assume on a large cluster (apply on the session
+    builder or ``spark-submit --conf``). AQE re-plans joins at run time,
+    coalesces small shuffle partitions and splits skewed ones; the
+    shuffle width is an upper bound sized for the largest shuffle (bytes
+    shuffled ÷ advisory size), AQE shrinks it for the small ones."""
+    mb = 1024 * 1024
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_partition_mb * mb),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_mb * mb),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -36,12 +57,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def stage_table(df: DataFrame, name: str, run_id: str | None = None) -> DataFrame:
+def stage_table(df: DataFrame, name: str, run_id: str | None = None,
+                counts: dict[str, int] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
-    the whole upstream plan) and gives AQE exact sizes of the staged table."""
+    the whole upstream plan) and gives AQE exact sizes of the staged table.
+    With ``counts``, the number of rows written is recorded under ``name``
+    through an ``Observation`` — collected by the write itself, no extra job."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/shoplens/{run_id or uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    obs = Observation(name) if counts is not None else None
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
+    out.write.mode("overwrite").parquet(path)
+    if obs is not None:
+        counts[name] = obs.get["rows"]
     return spark.read.parquet(path)
