@@ -50,15 +50,15 @@ def drop_bot_sessions(
     df: DataFrame,
     key: str = "user_session",
     max_events: int = 500,
-    broadcast_rows: int | None = 1_000_000,
+    broadcast_rows: int | None = 200_000,
 ) -> DataFrame:
     """Keep events whose session has at most ``max_events`` events.
 
     Rows with a null session vanish, as in an inner join on the key.
     Written as an anti join against the *bot* sessions (count above the
     threshold), which are few: when a size check shows at most
-    ``broadcast_rows`` of them, that small key set is persisted and
-    broadcast, and the events are filtered where they lie — no shuffle of
+    ``broadcast_rows`` of them (200k session ids: some 10 MB), that small
+    key set is persisted and broadcast, and the events are filtered where they lie — no shuffle of
     the events by session, and a giant session costs nothing extra. Above
     the bound the anti join stays a sort-merge join, whose skewed session
     partitions AQE splits. ``broadcast_rows=None`` skips the check."""

@@ -228,3 +228,35 @@ def test_chart_weekday_order(spark):
     assert [r.weekday_name for r in out] == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
                                              "Saturday", "Sunday"]
     assert [r.is_weekend for r in out] == [False] * 5 + [True] * 2
+
+
+def test_percentages_match_decimal_half_up(spark):
+    """pct_half_up / signed_pct_half_up equal Python's Decimal HALF_UP on
+    random counts, cents and signed numerators (one Spark job)."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from shoplens.functions.columns import pct_half_up, signed_pct_half_up
+
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(400):
+        whole = rnd.choice([rnd.randint(1, 50), rnd.randint(1, 10**6), rnd.randint(1, 10**15)])
+        part = rnd.randint(0, whole)
+        num = rnd.randint(-whole, whole)
+        rows.append((part, whole, num))
+    rows += [(1, 8, 1), (1, 3, -1), (2, 3, 2), (5, 1000, -5), (1, 200, 1), (0, 7, 0)]
+    df = spark.createDataFrame(rows, "part long, whole long, num long")
+    got = df.select("part", "whole", "num", pct_half_up("part", "whole").alias("p"),
+                    signed_pct_half_up("num", "whole").alias("s")).collect()
+
+    def ref(n, d):
+        q = (Decimal(abs(n)) * 100 / Decimal(d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        return float(q) * (1 if n >= 0 else -1)
+
+    for r in got:
+        assert r.p == ref(r.part, r.whole), r
+        assert r.s == ref(r.num, r.whole), r
+    money = spark.createDataFrame([("12.34", "100.00"), ("0.01", "3.00")], "a string, b string") \
+        .select(pct_half_up(F.col("a").cast("decimal(18,2)"), F.col("b").cast("decimal(18,2)")).alias("p"))
+    assert [r.p for r in money.collect()] == [12.34, 0.33]
