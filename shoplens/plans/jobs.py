@@ -24,6 +24,7 @@ from ..session import stage_table
 from ..settings import DEFAULT, Settings
 from ..sinks import write_csv, write_results
 from ..sources import files
+from ..sources import weather as SW
 
 
 log = logging.getLogger("shoplens.jobs")
@@ -166,3 +167,19 @@ def weather_job(spark: SparkSession, events_path: str | list[str], weather_path:
         "rain_analysis": "analysis3_rain_analysis", "regression_metrics": "analysis3_regression_metrics",
     }, csv_dir, settings)
     return results
+
+
+def weather_ingest_job(spark: SparkSession, payload_path: str | list[str], out_path: str, *,
+                       fmt: str = "csv") -> DataFrame:
+    """Step 0 without the HTTP client: service payload files (one per city)
+    → one row per city and day with coordinates → the weather table RQ3
+    reads (CSV with header, or Parquet)."""
+    rows = SW.attach_city_coordinates(
+        SW.flatten_weather_payload(SW.read_weather_payloads(spark, payload_path)), SW.city_dimension(spark)
+    ).select("date", "city", "latitude", "longitude", *W.MEASURES)
+    w = rows.write.mode("overwrite")
+    if fmt == "csv":
+        w.option("header", True).csv(out_path)
+    else:
+        w.parquet(out_path)
+    return files.read_weather(spark, out_path, fmt)

@@ -79,6 +79,19 @@ def weather_payloads(weather: DataFrame, missing_humidity_day: int = 1) -> DataF
     return grouped.select("city", payload.alias("payload"))
 
 
+def read_weather_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Payload files as rows (city, payload): each file holds one city's
+    service response and is read whole; the city is the file name without
+    its extension (``New York.json`` → ``New York``). Files are independent,
+    so this is one task per file and no shuffle."""
+    paths = [path] if isinstance(path, str) else list(path)
+    raw = spark.read.option("wholetext", True).text(paths)
+    return raw.select(
+        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("city"),
+        F.col("value").alias("payload"),
+    )
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
     """The fixed five-city table (name, latitude, longitude)."""
     return spark.createDataFrame(list(CITIES), "city string, latitude double, longitude double")

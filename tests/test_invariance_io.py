@@ -146,3 +146,28 @@ def test_classifier_beats_majority_on_separable_text(spark):
     acc = out.select("model_accuracy").first()[0]
     assert acc > 0.9
     assert out.count() == out.filter(F.col("correct").isin(0, 1)).count()
+
+
+def test_weather_ingest_job_from_payload_files(spark, tmp):
+    src = os.path.join(tmp, "payloads")
+    os.makedirs(src)
+    for city, t in (("Chicago", 5.5), ("Phoenix", 30.0)):
+        payload = {"properties": {"parameter": {
+            "T2M": {"20191001": t, "20191002": -999.0},
+            "PRECTOTCORR": {"20191001": 2.0, "20191002": 0.5},
+            "WS2M": {"20191001": 3.0, "20191002": 4.0},
+            "RH2M": {"20191001": 40.0},
+        }}}
+        with open(os.path.join(src, f"{city}.json"), "w") as fh:
+            json.dump(payload, fh)
+    out = jobs.weather_ingest_job(spark, src, os.path.join(tmp, "weather"))
+    rows = {(r.city, str(r.date)): r for r in out.collect()}
+    assert len(rows) == 4
+    assert rows[("Chicago", "2019-10-01")].temperature == 5.5
+    assert rows[("Chicago", "2019-10-01")].latitude == 41.8781
+    assert rows[("Phoenix", "2019-10-02")].temperature is None
+    assert rows[("Phoenix", "2019-10-02")].humidity is None
+    from shoplens.operators import weather as W
+
+    daily = {str(r.date): r for r in W.daily_weather(P.null_sentinel(out, list(W.MEASURES))).collect()}
+    assert daily["2019-10-01"].rain_day == 1 and daily["2019-10-01"].avg_temperature == 17.75
