@@ -96,6 +96,7 @@ def _rq1() -> dict[str, Query]:
         "daily_patterns": lambda s, d: B.daily_patterns(clean_events(s, d)),
         "daily_trend": lambda s, d: B.daily_trend(clean_events(s, d)),
         "top_categories": lambda s, d: B.top_categories(B.category_behaviour(clean_events(s, d)), 10),
+        "category_preview": lambda s, d: B.top_ranked(B.category_behaviour(clean_events(s, d)), 10),
         "chart_hourly": lambda s, d: V.chart_hourly(B.hourly_patterns(clean_events(s, d))),
         "chart_weekday": lambda s, d: V.chart_weekday(B.daily_patterns(clean_events(s, d))),
         "weekend_uplift": lambda s, d: B.weekend_uplift(clean_events(s, d)),

@@ -141,6 +141,7 @@ def _rq1() -> dict[str, str]:
             SELECT category_top, sum(total_revenue) AS total_revenue FROM category_behaviour
             WHERE category_top IS NOT NULL GROUP BY category_top
             ORDER BY total_revenue DESC, category_top LIMIT 10"""),
+        "category_preview": q(*EV, CATEGORY, body="SELECT * FROM category_behaviour WHERE revenue_rank <= 10"),
         "hourly_patterns": q(*EV, HOURLY, body="SELECT * FROM hourly"),
         "daily_patterns": q(*EV, WEEKDAY, body="SELECT * FROM weekday"),
         "daily_trend": q(*EV, body=f"""
