@@ -122,12 +122,13 @@ reviews AS (
 
 # weather ----------------------------------------------------------------------
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First line items as observations: ship date, the supplier's region as
-    the city; quantity 50 carries the -999 missing-value sentinel."""
-    li = (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_linenumber") == 1)
-        .select("l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    """Every line item as an observation: ship date, the supplier's region
+    as the city. Temperature is seasonal (5 degrees per month of the ship
+    date, from -20 in January) plus a spread of -5..5 from the quantity, so
+    daily means cover every bucket; quantity 50 carries the -999 sentinel.
+    All measures are integer-valued, so sums are exact on any engine."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation and region are fixed-size dimensions (25 and 5 rows)
@@ -141,7 +142,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("r_name").alias("city"),
-        F.when(F.col("l_quantity") == 50, F.lit(-999.0)).otherwise(F.col("l_quantity") - 10).alias("temperature"),
+        F.when(F.col("l_quantity") == 50, F.lit(-999.0))
+        .otherwise(F.month("l_shipdate") * 5 - 25 + F.col("l_quantity") % 11 - 5)
+        .alias("temperature"),
         F.greatest(F.lit(0.0), F.round(F.col("l_tax") * 100) - 6).alias("precipitation"),
         F.round(F.col("l_discount") * 100).alias("wind_speed"),
         (F.lit(40) + F.col("l_partkey") % 61).cast("double").alias("humidity"),
@@ -151,14 +154,14 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEATHER_SQL = """
 weather AS (
   SELECT CAST(l_shipdate AS DATE) AS date, r_name AS city,
-         CASE WHEN l_quantity = 50 THEN -999.0::DOUBLE ELSE l_quantity - 10 END AS temperature,
+         CASE WHEN l_quantity = 50 THEN -999.0::DOUBLE
+              ELSE month(l_shipdate) * 5 - 25 + l_quantity % 11 - 5 END AS temperature,
          greatest(0.0::DOUBLE, round(l_tax * 100) - 6) AS precipitation,
          round(l_discount * 100) AS wind_speed,
          CAST(40 + l_partkey % 61 AS DOUBLE) AS humidity
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
                 JOIN nation ON s_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey
-  WHERE l_linenumber = 1
 )"""
 
 
