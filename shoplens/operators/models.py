@@ -150,8 +150,11 @@ def regression_metrics(
     """M10 + M12 + M13: linear regression of daily purchases on the weather
     means (rows with a missing feature skipped), split by key; one row with
     test R² (4 dp), RMSE (2 dp), coefficients and intercept (4 dp)."""
+    # One row per day (bounded by the calendar): persisted once so the fit,
+    # the test transform and the metrics do not each recompute the join.
     assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip") \
-        .transform(joined).select(key, "features", F.col(label_col).cast("double").alias("label"))
+        .transform(joined).select(key, "features", F.col(label_col).cast("double").alias("label")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     train, test = split_train_test(assembled, key, train_fraction, seed)
     model = LinearRegression(featuresCol="features", labelCol="label",
                              maxIter=max_iter, regParam=reg_param).fit(train)
