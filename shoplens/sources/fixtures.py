@@ -164,8 +164,3 @@ weather AS (
                 JOIN region ON n_regionkey = r_regionkey
 )"""
 
-
-def with_views(body: str, *views: str) -> str:
-    """DuckDB SQL: the given fixture views as CTEs in front of ``body``,
-    which may add its own CTEs after a leading comma."""
-    return "WITH " + ",\n".join(v.strip() for v in views) + "\n" + body

@@ -12,9 +12,6 @@ from shoplens.operators import sentiment as R
 from shoplens.operators import weather as W
 from shoplens.schemas import SHOP_EVENTS
 
-EV_COLS = [f.name for f in SHOP_EVENTS.fields]
-
-
 def events(spark, rows):
     return spark.createDataFrame(rows, SHOP_EVENTS)
 
