@@ -257,3 +257,15 @@ def test_percentages_match_decimal_half_up(spark):
     money = spark.createDataFrame([("12.34", "100.00"), ("0.01", "3.00")], "a string, b string") \
         .select(pct_half_up(F.col("a").cast("decimal(18,2)"), F.col("b").cast("decimal(18,2)")).alias("p"))
     assert [r.p for r in money.collect()] == [12.34, 0.33]
+
+
+def test_bot_filter_paths_agree_under_a_hot_session(spark):
+    """One session holds a third of all rows: the broadcast anti join, the
+    sort-merge fallback (bound 0) and no size check give the same rows."""
+    rows = [ev(session="hot", user=i) for i in range(600)]
+    rows += [ev(session=f"s{i % 400}", user=i) for i in range(1200)]
+    df = P.prepare_events(events(spark, rows).repartition(7))
+    runs = [P.drop_bot_sessions(df, max_events=3, broadcast_rows=b) for b in (200_000, 0, None)]
+    got = [sorted((r.user_session, r.user_id) for r in d.select("user_session", "user_id").collect()) for d in runs]
+    assert got[0] == got[1] == got[2]
+    assert len(got[0]) == 1200 and all(s != "hot" for s, _ in got[0])
