@@ -269,3 +269,47 @@ def test_bot_filter_paths_agree_under_a_hot_session(spark):
     got = [sorted((r.user_session, r.user_id) for r in d.select("user_session", "user_id").collect()) for d in runs]
     assert got[0] == got[1] == got[2]
     assert len(got[0]) == 1200 and all(s != "hot" for s, _ in got[0])
+
+
+def test_weekend_uplift_exact(spark):
+    # Sat 2019-10-05: 3 purchases, Sun 10-06: 2, Mon 10-07: 2, Tue 10-08: 2
+    days = {"05": 3, "06": 2, "07": 2, "08": 2}
+    rows = [ev(t=f"2019-10-{d} 12:00:00 UTC", session=f"{d}-{i}") for d, n in days.items() for i in range(n)]
+    r = B.weekend_uplift(P.clean_events(events(spark, rows))).collect()[0]
+    assert (r.weekend_avg_daily_purchases, r.weekday_avg_daily_purchases) == (2.5, 2.0)
+    assert (r.weekend_days, r.weekday_days, r.weekend_uplift_pct) == (2, 2, 25.0)
+
+
+def test_category_profile_counts_null_group(spark):
+    rows = [ev(cat="a.x", et="view"), ev(cat="a.y", et="cart"), ev(cat=None)]
+    out = {r.category_top: (r.event_count, r.share_pct) for r in B.category_profile(P.prepare_events(events(spark, rows))).collect()}
+    assert out == {"a": (2, 66.67), None: (1, 33.33)}
+
+
+def test_weather_coverage_and_rain_chart(spark):
+    from shoplens.operators import charts as V
+
+    d1, d2 = dt.date(2019, 10, 1), dt.date(2019, 10, 2)
+    w = P.null_sentinel(weather(spark, [(d1, "A", -999.0, 2.0, 1.0, 1.0), (d2, "A", 5.0, 0.0, 1.0, 1.0),
+                                        (d2, "A", 6.0, 0.0, 1.0, 1.0), (d1, "B", 1.0, 0.0, 1.0, None)]),
+                        ["temperature", "precipitation", "wind_speed", "humidity"])
+    cov = {r.city: r for r in W.weather_coverage(w).collect()}
+    assert (cov["A"].days_present, cov["A"].observations, cov["A"].null_temperature) == (2, 3, 1)
+    assert (cov["A"].first_day, cov["A"].last_day) == (d1, d2)
+    assert cov["B"].null_humidity == 1
+    p = spark.createDataFrame([(d1, 10, 100.25, 4, 10.0), (d2, 20, 50.5, 6, 2.5)],
+                              "event_date date, purchase_count long, daily_revenue double, active_buyers long, "
+                              "avg_order_value double")
+    rain = W.rain_analysis(W.join_daily(p, W.daily_weather(w)))
+    chart = V.chart_rain(rain).collect()
+    assert [(r.rain_day, r.rain_label, r.avg_daily_purchases, r.avg_daily_revenue) for r in chart] == \
+        [(0, "Dry Day", 20.0, 50.5), (1, "Rainy Day", 10.0, 100.25)]
+
+
+def test_review_length_stats(spark):
+    rows = [(5.0, "", "abcdefghij", "a", 0, 0, None), (4.0, "", "abcdefghijkl", "a", 0, 0, None),
+            (1.0, "", "abcdefghijklmn", "a", 0, 0, None)]
+    out = {r.sentiment_label: (r.review_count, r.min_length, r.mean_length, r.max_length)
+           for r in R.review_length_stats(P.clean_reviews(reviews(spark, rows))).collect()}
+    # cleaned text is " " + text (empty title joined by a space)
+    assert out == {2: (2, 11, 12.0, 13), 0: (1, 15, 15.0, 15)}
