@@ -112,9 +112,13 @@ def sentiment_job(spark: SparkSession, reviews_path: str | list[str], *, key: st
         key = "review_key"
         raw = raw.withColumn(key, F.xxhash64("asin", "timestamp", "rating", "title", "text"))
     counts: dict[str, int] = {}
+    # Stage only what the results read: the cleaned text, not the raw
+    # title/text and their concatenation (the corpus would be stored 3x).
     clean = stage_table(
         P.clean_reviews(raw, min_length=settings.min_review_length, min_rating=settings.min_rating,
-                        max_rating=settings.max_rating, category=settings.review_category),
+                        max_rating=settings.max_rating, category=settings.review_category)
+        .select(key, "asin", "rating", "timestamp", "helpful_vote", "verified_purchase",
+                "review_clean", "sentiment_label", "review_date", "category"),
         "clean_reviews", run_id, counts,
     )
     _log_counts("sentiment", counts)
