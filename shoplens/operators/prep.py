@@ -1,6 +1,8 @@
 """Preparation operators P1–P13 (narrow projections plus the bot filter).
 
-No operator here runs an action; the caller owns persist and sinks.
+The only action here is the bounded size check in ``drop_bot_sessions``
+that decides whether the bot-session keys are broadcast; the caller owns
+staging and sinks.
 """
 
 from __future__ import annotations
@@ -58,10 +60,11 @@ def drop_bot_sessions(
     Written as an anti join against the *bot* sessions (count above the
     threshold), which are few: when a size check shows at most
     ``broadcast_rows`` of them (200k session ids: some 10 MB), that small
-    key set is persisted and broadcast, and the events are filtered where they lie — no shuffle of
-    the events by session, and a giant session costs nothing extra. Above
-    the bound the anti join stays a sort-merge join, whose skewed session
-    partitions AQE splits. ``broadcast_rows=None`` skips the check."""
+    key set is persisted and broadcast, and the events are filtered where
+    they lie — no shuffle of the events by session, and a giant session
+    costs nothing extra. Above the bound the anti join stays a sort-merge
+    join, whose skewed session partitions AQE splits.
+    ``broadcast_rows=None`` skips the check."""
     bots = session_sizes(df, key).filter(F.col("event_count") > max_events).select(key)
     if broadcast_rows is not None:
         bots = bots.persist(StorageLevel.MEMORY_AND_DISK)
@@ -76,11 +79,12 @@ def clean_events(
     max_events: int = DEFAULT.max_session_events,
     session_col: str = "user_session",
     drop_bots: bool = True,
+    broadcast_rows: int | None = 200_000,
     **prepare_kw,
 ) -> DataFrame:
     """``prepare_events`` then the bot-session filter."""
     out = prepare_events(df, **prepare_kw)
-    return drop_bot_sessions(out, session_col, max_events) if drop_bots else out
+    return drop_bot_sessions(out, session_col, max_events, broadcast_rows) if drop_bots else out
 
 
 def clean_reviews(
