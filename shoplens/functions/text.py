@@ -35,6 +35,8 @@ def tokens(c: str | Column) -> Column:
 
 
 def is_keyword(word: str | Column, stop_words: Iterable[str], min_length: int) -> Column:
-    """M4 + F4: not a stop word and at least ``min_length`` characters."""
+    """M4 + F4: at least ``min_length`` characters and not a stop word.
+    Tokens come from ``tokens`` and are already lower case, so the check
+    is case-insensitive without lower-casing every token again."""
     w = col(word)
-    return (F.length(w) >= min_length) & ~F.lower(w).isin(list(stop_words))
+    return (F.length(w) >= min_length) & ~w.isin([s.lower() for s in stop_words])

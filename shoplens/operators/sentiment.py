@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import exact_mean, pct_half_up
-from ..functions.text import WHITESPACE, is_keyword
+from ..functions.text import is_keyword, tokens
 from ..settings import DEFAULT, ENGLISH_STOP_WORDS, SENTIMENT_GROUPS
 from .common import with_grand_total
 
@@ -67,7 +67,7 @@ def keyword_counts(
         name = F.when(label == value, group).otherwise(name)
     words = (
         reviews.filter(label.isin([v for v, _ in groups]))
-        .select(name.alias("sentiment_group"), F.explode(F.split(F.col(text_col), WHITESPACE)).alias("word"))
+        .select(name.alias("sentiment_group"), F.explode(tokens(text_col)).alias("word"))
         .filter(is_keyword("word", stop_words, min_length))
     )
     return words.groupBy("sentiment_group", "word").agg(F.count(F.lit(1)).alias("frequency"))
