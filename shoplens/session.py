@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  checkpoint_dir: str | None = None, app: str = "shoplens") -> SparkSession:
-    """Local session for tests/bench: UI off, AQE on, UTC."""
+                  checkpoint_dir: str | None = None, app: str = "shoplens",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests/bench: UI off, AQE on, UTC. With
+    ``event_log_dir`` the event log (stage and task times) goes there."""
     b = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
@@ -23,6 +25,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     )
     if checkpoint_dir:
         b = b.config("spark.checkpoint.dir", checkpoint_dir)
+    if event_log_dir:
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
