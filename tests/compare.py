@@ -4,6 +4,7 @@ compare row count, column names and order-insensitive values."""
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -35,16 +36,29 @@ def _norm(v):
     return repr(v)
 
 
+def _missing(x) -> bool:
+    """Null in any pandas spelling. Float NaN is kept as a value: pandas
+    also writes null doubles as NaN, on both sides alike."""
+    if x is None or x is pd.NaT:
+        return True
+    if isinstance(x, (float, str, bytes, list, tuple)):
+        return False
+    try:
+        return bool(pd.isna(x))
+    except (TypeError, ValueError):
+        return False
+
+
 def rows_of(df: pd.DataFrame) -> list[tuple]:
+    """Rows as tuples of normalised values, columns by name, rows sorted."""
     cols = sorted(df.columns)
-    out = []
-    for rec in df[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (x is pd.NaT or (not isinstance(x, (str, bytes, list, tuple)) and pd.isna(x) and not isinstance(x, float))) else x) for x in rec))
+    out = [tuple(None if _missing(x) else _norm(x) for x in rec)
+           for rec in df[cols].itertuples(index=False, name=None)]
     return sorted(out, key=repr)
 
 
 def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
 
     qs, sqls = E.queries(), E.oracle_sql()
