@@ -102,10 +102,6 @@ def money(c: str | Column, money_type: str) -> Column:
     return col(c).cast(money_type)
 
 
-def money_sum(c: str | Column, money_type: str) -> Column:
-    return F.sum(money(c, money_type))
-
-
 def distinct_count(c: str | Column, approx_rsd: float | None = None) -> Column:
     """Exact ``count(DISTINCT c)`` by default; with ``approx_rsd`` a
     HyperLogLog++ estimate with that relative standard deviation (fixed

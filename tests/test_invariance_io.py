@@ -171,3 +171,13 @@ def test_weather_ingest_job_from_payload_files(spark, tmp):
 
     daily = {str(r.date): r for r in W.daily_weather(P.null_sentinel(out, list(W.MEASURES))).collect()}
     assert daily["2019-10-01"].rain_day == 1 and daily["2019-10-01"].avg_temperature == 17.75
+
+
+def test_cluster_conf_and_checkpoint_dir(spark):
+    from shoplens.session import checkpoint_dir, cluster_conf
+
+    conf = cluster_conf(shuffle_partitions=4000)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert conf["spark.sql.shuffle.partitions"] == "4000"
+    assert checkpoint_dir(spark)  # read from the session (set by the test fixture)
