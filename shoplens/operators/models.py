@@ -13,7 +13,7 @@ from __future__ import annotations
 from typing import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -27,32 +27,47 @@ REGRESSION_FEATURES: tuple[str, ...] = ("avg_temperature", "avg_precipitation",
 COEFFICIENT_NAMES: tuple[str, ...] = ("coeff_temp", "coeff_precip", "coeff_wind", "coeff_humidity")
 
 
-def sentiment_pipeline(
+def token_stages(text_col: str = "review_clean",
+                 stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS) -> list:
+    """M3–M4: lower-case whitespace tokens (``words_raw``), then stop words
+    removed (``words``) unless ``stop_words`` is None."""
+    stages = [Tokenizer(inputCol=text_col, outputCol="words_raw")]
+    if stop_words is not None:
+        stages.append(StopWordsRemover(inputCol="words_raw", outputCol="words",
+                                       stopWords=list(stop_words), locale="en_US"))
+    return stages
+
+
+def model_stages(
     *,
-    text_col: str = "review_clean",
+    words_col: str = "words",
     label_col: str = "sentiment_label",
     num_features: int = DEFAULT.num_features,
     min_doc_freq: int = DEFAULT.min_doc_freq,
     max_iter: int = DEFAULT.classifier_max_iter,
     reg_param: float = DEFAULT.classifier_reg_param,
     use_idf: bool = True,
-    stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS,
-) -> Pipeline:
-    """M3–M7: tokens → (stop words out) → hashed term counts → (IDF) →
-    multinomial logistic regression."""
-    stages = [Tokenizer(inputCol=text_col, outputCol="words_raw")]
-    words = "words_raw"
-    if stop_words is not None:
-        stages.append(StopWordsRemover(inputCol="words_raw", outputCol="words",
-                                       stopWords=list(stop_words), locale="en_US"))
-        words = "words"
+) -> list:
+    """M5–M7: hashed term counts → (IDF) → multinomial logistic regression."""
     tf_out = "raw_features" if use_idf else "features"
-    stages.append(HashingTF(inputCol=words, outputCol=tf_out, numFeatures=num_features))
+    stages = [HashingTF(inputCol=words_col, outputCol=tf_out, numFeatures=num_features)]
     if use_idf:
         stages.append(IDF(inputCol="raw_features", outputCol="features", minDocFreq=min_doc_freq))
     stages.append(LogisticRegression(featuresCol="features", labelCol=label_col,
                                      maxIter=max_iter, regParam=reg_param))
-    return Pipeline(stages=stages)
+    return stages
+
+
+def sentiment_pipeline(
+    *,
+    text_col: str = "review_clean",
+    stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS,
+    **model_kw,
+) -> Pipeline:
+    """M3–M7: tokens → (stop words out) → hashed term counts → (IDF) →
+    multinomial logistic regression."""
+    words = "words" if stop_words is not None else "words_raw"
+    return Pipeline(stages=token_stages(text_col, stop_words) + model_stages(words_col=words, **model_kw))
 
 
 def _split_sample(reviews: DataFrame, key: str, fractions: Mapping[int, float], label_col: str,
@@ -118,13 +133,19 @@ def classifier_ablation(
     seed: int = DEFAULT.seed,
     grid: Sequence[tuple[str, bool, bool, int]] = ABLATION_GRID,
 ) -> DataFrame:
-    """Test accuracy of each pipeline configuration on the same split."""
+    """Test accuracy of each pipeline configuration on the same split.
+
+    The sample is tokenized once (with and without stop words) and that is
+    persisted, so each configuration only hashes, weights and fits."""
     train, test = _split_sample(reviews, key, fractions, label_col, train_fraction, seed)
+    tokenize = PipelineModel(stages=token_stages())
+    train_t = tokenize.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    test_t = tokenize.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
     rows = None
     for name, use_idf, stops, n_feat in grid:
-        model = sentiment_pipeline(label_col=label_col, use_idf=use_idf, num_features=n_feat,
-                                   stop_words=ENGLISH_STOP_WORDS if stops else None).fit(train)
-        acc = model.transform(test).agg(
+        model = Pipeline(stages=model_stages(words_col="words" if stops else "words_raw", label_col=label_col,
+                                             use_idf=use_idf, num_features=n_feat)).fit(train_t)
+        acc = model.transform(test_t).agg(
             F.count(F.lit(1)).alias("test_rows"),
             F.round(F.avg((F.col(label_col) == F.col("prediction")).cast("int")), 4).alias("accuracy"),
         ).select(
