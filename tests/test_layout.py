@@ -21,3 +21,18 @@ def test_all_oracle_queries_with_other_layout(spark):
             spark.conf.set(k, v)
     bad = {k: v for k, v in rep.items() if v != "OK"}
     assert not bad, bad
+
+
+def test_all_oracle_queries_in_another_session_time_zone(spark):
+    """Fixture timestamps are TIMESTAMP_NTZ and review days are computed in
+    UTC, so no result depends on the session time zone."""
+    import __spark_entry__ as E
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        rep = compare(spark, SF, sorted(E.oracle_sql()), verbose=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    bad = {k: v for k, v in rep.items() if v != "OK"}
+    assert not bad, bad
