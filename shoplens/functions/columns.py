@@ -98,8 +98,10 @@ def temperature_bucket(
 
 # money ----------------------------------------------------------------------
 def money(c: str | Column, money_type: str) -> Column:
-    """Exact money value; sums of it do not depend on row order."""
-    return col(c).cast(money_type)
+    """Exact money value; sums of it do not depend on row order. A value
+    outside the type's range (a corrupt row) counts as missing, like a
+    null price, instead of failing the whole job under ANSI mode."""
+    return col(c).try_cast(money_type)
 
 
 def distinct_count(c: str | Column, approx_rsd: float | None = None) -> Column:

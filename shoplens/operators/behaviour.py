@@ -33,7 +33,7 @@ def purchases(df: DataFrame, event_col: str = "event_type", purchase: str = "pur
 
 def _revenue_aggs(price: str, money_type: str) -> list:
     """Exact revenue and the number of priced rows (for the mean)."""
-    return [F.sum(money(price, money_type)).alias("__rev"), F.count(price).alias("__n_priced")]
+    return [F.sum(money(price, money_type)).alias("__rev"), F.count(money(price, money_type)).alias("__n_priced")]
 
 
 def _finish_revenue(df: DataFrame, revenue: str, mean: str | None) -> DataFrame:
@@ -94,7 +94,7 @@ def category_behaviour(df: DataFrame, money_type: str = MONEY, approx_rsd: float
         .agg(
             F.count(F.lit(1)).alias("total_purchases"),
             F.sum(money("price", money_type)).alias("__rev"),
-            F.count("price").alias("__n_priced"),
+            F.count(money("price", money_type)).alias("__n_priced"),
             distinct_count("user_id", approx_rsd).alias("unique_buyers"),
         )
     )

@@ -40,7 +40,7 @@ def daily_purchases(events: DataFrame, money_type: str = MONEY, approx_rsd: floa
         F.count(F.lit(1)).alias("purchase_count"),
         F.sum(money("price", money_type)).alias("__rev"),
         distinct_count("user_id", approx_rsd).alias("active_buyers"),
-        F.count("price").alias("__n_priced"),
+        F.count(money("price", money_type)).alias("__n_priced"),
     )
     return agg.select(
         "event_date", "purchase_count",
@@ -76,7 +76,7 @@ def rain_analysis(joined: DataFrame, money_type: str = MONEY) -> DataFrame:
     agg = joined.groupBy("rain_day").agg(
         F.avg("purchase_count").alias("avg_daily_purchases"),
         F.sum(money("daily_revenue", money_type)).alias("__rev"),
-        F.count("daily_revenue").alias("__n_rev"),
+        F.count(money("daily_revenue", money_type)).alias("__n_rev"),
         F.avg("active_buyers").alias("avg_active_buyers"),
         F.count(F.lit(1)).alias("num_days"),
     )
@@ -97,7 +97,7 @@ def temperature_buckets(joined: DataFrame, money_type: str = MONEY, null_bucket:
         .agg(
             F.avg("purchase_count").alias("avg_daily_purchases"),
             F.sum(money("daily_revenue", money_type)).alias("__rev"),
-            F.count("daily_revenue").alias("__n_rev"),
+            F.count(money("daily_revenue", money_type)).alias("__n_rev"),
             F.count(F.lit(1)).alias("days_in_group"),
         )
     )

@@ -40,7 +40,11 @@ def mean(total: str, n: str) -> str:
 
 
 def msum(x: str) -> str:
-    return f"sum(CAST({x} AS {MONEY}))"
+    return f"sum(TRY_CAST({x} AS {MONEY}))"
+
+
+def mcount(x: str) -> str:
+    return f"count(TRY_CAST({x} AS {MONEY}))"
 
 
 def key_hash(key: str, salt: str) -> str:
@@ -87,7 +91,7 @@ EV = (SHOP_EVENTS_SQL, PREPARED, SESSIONS, CLEAN_EVENTS)
 CATEGORY = f"""
 cat AS (
   SELECT category_top, count(*) AS total_purchases, {msum('price')} AS rev,
-         count(price) AS n_priced, count(DISTINCT user_id) AS unique_buyers
+         {mcount('price')} AS n_priced, count(DISTINCT user_id) AS unique_buyers
   FROM clean_events WHERE event_type = 'purchase' AND category_top IS NOT NULL
   GROUP BY category_top
 ),
@@ -102,7 +106,7 @@ category_behaviour AS (
 HOURLY = f"""
 hourly AS (
   SELECT event_hour, count(*) AS purchase_count, CAST({msum('price')} AS DOUBLE) AS total_revenue,
-         {mean(msum('price'), 'count(price)')} AS avg_order_value
+         {mean(msum('price'), mcount('price'))} AS avg_order_value
   FROM clean_events WHERE event_type = 'purchase' GROUP BY event_hour
 )"""
 
@@ -265,7 +269,7 @@ DAILY_PURCHASES = f"""
 daily_purchases AS (
   SELECT CAST(event_time AS DATE) AS event_date, count(*) AS purchase_count,
          CAST({msum('price')} AS DOUBLE) AS daily_revenue, count(DISTINCT user_id) AS active_buyers,
-         {mean(msum('price'), 'count(price)')} AS avg_order_value
+         {mean(msum('price'), mcount('price'))} AS avg_order_value
   FROM order_purchases WHERE event_type = 'purchase' AND event_time IS NOT NULL GROUP BY 1
 )"""
 DAILY_WEATHER = f"""
@@ -283,7 +287,7 @@ joined_daily AS (
 RAIN = f"""
 rain AS (
   SELECT rain_day, avg(purchase_count) AS avg_daily_purchases,
-         {mean(msum('daily_revenue'), 'count(daily_revenue)')} AS avg_daily_revenue,
+         {mean(msum('daily_revenue'), mcount('daily_revenue'))} AS avg_daily_revenue,
          avg(active_buyers) AS avg_active_buyers, count(*) AS num_days,
          CASE WHEN rain_day = 1 THEN 'Rainy Day' ELSE 'Dry Day' END AS rain_label
   FROM joined_daily GROUP BY rain_day
@@ -331,7 +335,7 @@ def _rq3() -> dict[str, str]:
                         WHEN avg_temperature < 20 THEN 'mild' WHEN avg_temperature < 30 THEN 'warm'
                         ELSE 'hot' END AS temp_bucket,
                    avg(purchase_count) AS avg_daily_purchases,
-                   {mean(msum('daily_revenue'), 'count(daily_revenue)')} AS avg_daily_revenue,
+                   {mean(msum('daily_revenue'), mcount('daily_revenue'))} AS avg_daily_revenue,
                    count(*) AS days_in_group
             FROM joined_daily GROUP BY 1"""),
         "correlation_matrix": _correlation(),

@@ -60,7 +60,7 @@ def daily_purchase_stream(events: DataFrame, *, watermark: str = "1 day",
     agg = p.groupBy(F.window("event_time", "1 day").alias("day")).agg(
         F.count(F.lit(1)).alias("purchase_count"),
         F.sum(money("price", money_type)).alias("__rev"),
-        F.count("price").alias("__n_priced"),
+        F.count(money("price", money_type)).alias("__n_priced"),
     )
     return agg.select(
         F.to_date(F.col("day.start")).alias("event_date"),

@@ -313,3 +313,9 @@ def test_review_length_stats(spark):
            for r in R.review_length_stats(P.clean_reviews(reviews(spark, rows))).collect()}
     # cleaned text is " " + text (empty title joined by a space)
     assert out == {2: (2, 11, 12.0, 13), 0: (1, 15, 15.0, 15)}
+
+
+def test_out_of_range_price_counts_as_missing(spark):
+    rows = [ev(price=10.0, session="a"), ev(price=1e20, session="b"), ev(price=5.0, session="c")]
+    r = B.hourly_patterns(P.clean_events(events(spark, rows))).collect()[0]
+    assert (r.purchase_count, r.total_revenue, r.avg_order_value) == (3, 15.0, 7.5)
