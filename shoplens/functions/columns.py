@@ -30,8 +30,10 @@ def parse_event_time(c: str | Column, fmt: str, is_string: bool) -> Column:
 
 # S5 -------------------------------------------------------------------------
 def parse_compact_date(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
-    """``yyyyMMdd`` text → date (null when unparsable)."""
-    return F.to_date(col(c), fmt)
+    """``yyyyMMdd`` text → date; null when unparsable (``to_date`` would
+    fail the job under ANSI mode). Parse and cast use the same session
+    time zone, so the calendar day is kept."""
+    return F.try_to_timestamp(col(c), F.lit(fmt)).cast("date")
 
 
 # P3 -------------------------------------------------------------------------

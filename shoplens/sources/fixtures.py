@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events ⟕ part: clicks become carts, props.k is the product, the part's
     type and brand form a two-level category code, sessions are user-day."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", k.alias("k")
     )
@@ -53,7 +53,7 @@ shop_events AS (
          CASE WHEN e.event_id % 50 = 0 THEN NULL
               ELSE CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) END AS user_session
   FROM (SELECT event_id, ts, user_id, event_type, value,
-               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
+               TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
   LEFT JOIN part p ON p.p_partkey = e.k
 )"""
 

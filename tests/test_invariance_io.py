@@ -181,3 +181,11 @@ def test_cluster_conf_and_checkpoint_dir(spark):
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.shuffle.partitions"] == "4000"
     assert checkpoint_dir(spark)  # read from the session (set by the test fixture)
+
+
+def test_malformed_payload_dates_and_json_do_not_fail(spark):
+    good = {"properties": {"parameter": {"T2M": {"20191001": 1.0, "2019-10-02": 2.0}}}}
+    df = spark.createDataFrame([("A", json.dumps(good)), ("B", "{not json")], "city string, payload string")
+    rows = SW.flatten_weather_payload(df).collect()
+    assert sorted((r.city, str(r.date), r.temperature) for r in rows) == \
+        [("A", "2019-10-01", 1.0), ("A", "None", 2.0)]
