@@ -114,7 +114,7 @@ def clean_reviews(
     # concatenation of two coalesced strings is never null.)
     out = out.withColumn("review_clean", F.explode(F.array(clean_text("review_text"))))
     out = out.filter(F.length("review_clean") >= min_length)
-    day = F.floor(F.col(timestamp_col) / F.lit(86_400_000.0)).cast("int")
+    day = F.floor(F.col(timestamp_col) / F.lit(86_400_000.0)).try_cast("int")  # absurd stamps → null
     return out.withColumns({
         "sentiment_label": sentiment_label("rating"),
         "review_date": F.date_from_unix_date(day),
