@@ -86,7 +86,16 @@ def _split_sample(reviews: DataFrame, key: str, fractions: Mapping[int, float],
         .repartition(parallelism, key)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return split_train_test(sample, key, train_fraction, seed)
+    train, test = split_train_test(sample, key, train_fraction, seed)
+    _require_rows(train, "training sample is empty: raise the sample fractions or use more reviews")
+    return train, test
+
+
+def _require_rows(df: DataFrame, message: str) -> None:
+    """Fail early with a clear message instead of inside the estimator
+    (one-row probe; the model fits scan the data anyway)."""
+    if df.isEmpty():
+        raise ValueError(message)
 
 
 def classifier_results(
@@ -177,6 +186,7 @@ def regression_metrics(
         .transform(joined).select(key, "features", F.col(label_col).cast("double").alias("label")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     train, test = split_train_test(assembled, key, train_fraction, seed)
+    _require_rows(train, "no training days: the purchase and weather dates do not overlap")
     model = LinearRegression(featuresCol="features", labelCol="label",
                              maxIter=max_iter, regParam=reg_param).fit(train)
     pred = model.transform(test)

@@ -189,3 +189,10 @@ def test_malformed_payload_dates_and_json_do_not_fail(spark):
     rows = SW.flatten_weather_payload(df).collect()
     assert sorted((r.city, str(r.date), r.temperature) for r in rows) == \
         [("A", "2019-10-01", 1.0), ("A", "None", 2.0)]
+
+
+def test_empty_training_data_gives_a_clear_error(spark):
+    df = spark.createDataFrame([(1, 5.0, "some review text", 2, "Electronics")],
+                               "doc_id long, rating double, review_clean string, sentiment_label int, category string")
+    with pytest.raises(ValueError, match="training sample is empty"):
+        M.classifier_results(df, key="doc_id", fractions={2: 0.0})
