@@ -73,7 +73,7 @@ def sentiment_pipeline(
 def _split_sample(reviews: DataFrame, key: str, fractions: Mapping[int, float], label_col: str,
                   train_fraction: float, seed: int, text_col: str = "review_clean") -> tuple[DataFrame, DataFrame]:
     """Sample, keep only the columns the model and the report need, and
-    persist that sample: the IDF fit, the regression passes, the test
+    persist that sample: the IDF fit, the logistic-regression passes, the test
     transform and the accuracy all read it, as Spark ML's own estimators
     persist uncached input. Its size is the sample, not the corpus; blocks
     lost with an executor are recomputed from lineage. The sample is spread
