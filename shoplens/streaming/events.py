@@ -6,7 +6,7 @@
   partition-filtered Parquet instead of re-parsing CSV.
 * ``daily_purchase_stream`` — the daily-purchase aggregation (A11: count,
   exact revenue, mean order value) over event-time days with a watermark,
-  emitted once a day is final. Distinct buyers need the batch operator
+  emitted once a day is closed. Distinct buyers need the batch operator
   (exact distinct counts are not incremental).
 """
 
@@ -55,7 +55,8 @@ def daily_purchase_stream(events: DataFrame, *, watermark: str = "1 day",
                           money_type: str = DEFAULT.money_type) -> DataFrame:
     """A11 on a stream of prepared events: per event-time day, purchases,
     exact revenue and mean order value; a day is emitted (append mode) once
-    the watermark passes its end, and late rows beyond it are dropped."""
+    the watermark passes its end. Rows up to ``watermark`` late are always
+    counted; older rows may be dropped (Spark guarantees only the former)."""
     p = events.filter(F.col("event_type") == "purchase").withWatermark("event_time", watermark)
     agg = p.groupBy(F.window("event_time", "1 day").alias("day")).agg(
         F.count(F.lit(1)).alias("purchase_count"),

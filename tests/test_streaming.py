@@ -60,3 +60,36 @@ def test_daily_purchase_stream_matches_batch_for_closed_days(spark, tmp):
         b = batch[d]
         assert (r.purchase_count, r.daily_revenue, r.avg_order_value) == \
             (b.purchase_count, b.daily_revenue, b.avg_order_value)
+
+
+def test_watermark_closes_days_and_late_days_count_at_most_once(spark, tmp):
+    """Three files, one micro-batch each (oldest first). Days within the
+    watermark are complete when emitted; a day arriving after the watermark
+    passed it may be dropped or counted (Spark guarantees neither), but it
+    is emitted at most once and never double-counted."""
+    import time as _time
+
+    src, ck = os.path.join(tmp, "late_src"), os.path.join(tmp, "late_ck")
+    os.makedirs(src)
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    files = [
+        ["2019-10-10 12:00:00 UTC"] * 3 + ["2019-10-12 12:00:00 UTC"],
+        ["2019-10-01 12:00:00 UTC"] * 2,            # late: watermark is already past Oct 2
+        ["2019-10-20 12:00:00 UTC"],                # moves the watermark past Oct 13
+    ]
+    now = _time.time()
+    for i, stamps in enumerate(files):
+        path = os.path.join(src, f"part-{i}.csv")
+        with open(path, "w") as fh:
+            fh.write(header + "".join(f"{t},purchase,1,1,a.b,x,10.0,{j},s{j}\n" for j, t in enumerate(stamps)))
+        os.utime(path, (now - 100 + i * 10, now - 100 + i * 10))
+    stream = P.prepare_events(read_event_stream(spark, src, max_files_per_trigger=1))
+    q = (daily_purchase_stream(stream).writeStream.format("memory").queryName("late_stream")
+         .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    rows = [(str(r.event_date), r.purchase_count) for r in spark.table("late_stream").collect()]
+    got = dict(rows)
+    assert len(rows) == len(got)  # each day emitted once
+    assert got["2019-10-10"] == 3 and got["2019-10-12"] == 1
+    assert got.get("2019-10-01") in (None, 2)
+    assert "2019-10-20" not in got  # still open: the watermark has not passed it
