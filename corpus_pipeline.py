@@ -17,13 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import mixing, sentencepiece, simhash
+from shoplens.llm import langid, linededup, mixing, sentencepiece, simhash
 from shoplens.llm.common import Run
 from shoplens.llm.queries import tokenizer_model
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID, learned from the rows that name their language: documents whose language is undetermined go."""
+    model = langid.train(docs)
+    known = langid.identify(docs.select(*COLUMNS), model, lang_out="_lang", score_out="_score")
+    return known.filter(F.col("_lang") != langid.UNDETERMINED).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines that an earlier line equals, or nearly, leave their text; documents left without a word go."""
+    return linededup.without_repeated_lines(docs, COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup (3-word shingles, 3 bits): one document of each group stays, the one of the smallest id."""
     return simhash.keep_first(docs, COLUMNS, shingle=3, bits=3)
@@ -40,7 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
 
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sentencepiece, simhash
+from . import fingerprints, langid, licenses, linededup, mixing, quality, secrets, sentencepiece, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +22,26 @@ def tokenizer_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows whose crc32(doc_id) mod 3 is not 1, predicts all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = langid.train(docs.filter(part != 1))
+    return langid.identify(docs.select("doc_id", "text", F.coalesce(part == 1, F.lit(False)).alias("held_out")),
+                           model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 5, 2, 1 by source, 150 % of all words, at most 2 times a source."""
     return (mixing.mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingles, containment of 0.8 or more."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and what they decode to, as digests."""
     t = sentencepiece.round_trip(table(spark, sf_dir, "documents"), tokenizer_model())
@@ -41,9 +55,53 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "fingerprint", "component_id"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the isolation forest, its limit set on ``labels``."""
+    return (quality.quality_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page to an archive and back; equal payloads of any size revisit."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0, columns=[
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal lines, and lines of 20 characters or more within one edit."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all documents, judged by a forest trained on findings
+    that the documents' own assignments label."""
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingles, one hash in 16."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+#: Base 32 of a SHA-1: eight groups of five hex digits, four letters each.
+_BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  cast((cast('0x' || substr({hex}, cast(5 * (i // 4) + 1 as int), 5) as bigint) >> cast(5 * (3 - i % 4) as int)) & 31 as int) + 1, 1) for i in range(0, 32)], '')"""
+
+WARC_SQL = f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+q as (select *, max(page_id) over (partition by html) as last from p)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, {_BASE32.format(hex="hex")} as payload_digest,
+       case when page_id < last then 'revisit' else 'response' end as record_type,
+       case when page_id < last then last end as refers_to
+from q"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op4_sentencepiece, op5_simhash)}
+    f.__name__: f for f in (
+        op1_language_id, op2_mix_sources, op3_license_scan, op4_sentencepiece, op5_simhash, op6_quality_rules, op7_warc,
+        op8_line_dedup, op9_secret_scan, op10_fingerprints)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.MIX_SQL.format(docs="documents"),
+    "op7_warc": WARC_SQL,
 }
