@@ -40,7 +40,7 @@ def grams(text: str | None, order: int, letters: np.ndarray) -> np.ndarray:
     for at in range(0, len(text or ""), PIECE):
         x = np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), "<u4")
         x = np.where(letters[x], x.astype(np.int64) + 2, 1)
-        x = np.concatenate((tail, x, [1] if at + PIECE >= len(text) else []))
+        x = np.concatenate((tail, x, tail[:0] if at + PIECE < len(text) else np.ones(1, np.int64)))
         x = x[np.concatenate(([True], (x[1:] > 1) | (x[:-1] > 1)))]
         parts, key = [x[x > 1]], x
         for n in range(2, order + 1):
@@ -51,11 +51,7 @@ def grams(text: str | None, order: int, letters: np.ndarray) -> np.ndarray:
     if len(found) > 1:
         found = [np.unique(np.concatenate(found))]
     # Without a letter there is nothing but the space.
-    return found[0] if found and (found[0] > 1).any() and _has_letter(found[0]) else np.empty(0, np.int64)
-
-
-def _has_letter(keys: np.ndarray) -> bool:
-    return bool(((keys > 1) & (keys < 1 << 21)).any())
+    return found[0] if found and (found[0] < 1 << 21).any() else np.empty(0, np.int64)
 
 
 @dataclass
@@ -149,15 +145,17 @@ def train(docs: DataFrame, per_language: int = 200, order: int = 3, landmarks: i
     spread = 1 << 40
     share = F.create_map(*[F.lit(x) for k, n in counts.items()
                            for x in (k, min(spread, int(1.25 * (per_language + 20) / n * spread)))])
-    # A sample by hash threshold: no sort, and the text is hashed for the sample alone.
-    sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(spread)) < share[F.col("label")])
+    # A sample by hash threshold: no sort.
+    hashed = rows.withColumn("h", F.xxhash64("id", "text"))
+    sample = hashed.filter(F.pmod("h", F.lit(spread)) < share[F.col("label")])
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = letter_table()
         for b in batches:
             yield pd.DataFrame({"label": b["label"], "h": b["h"], "grams": [grams(t, order, letters) for t in b["text"]]})
 
-    found = (sample.select("text", "label", F.xxhash64("id", "text").alias("h"))
+    # Rows that repeat one id and text teach once.
+    found = (sample.select("text", "label", "h").dropDuplicates(["label", "h"])
              .mapInPandas(of, "label string, h long, grams array<long>").toPandas())
     found = found[found["grams"].map(len) > 0].sort_values(["label", "h"], kind="stable")
     found = found.groupby("label").head(per_language)

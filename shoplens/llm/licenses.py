@@ -5,7 +5,7 @@ the set of its five-word shingles. Windows a little longer than a template
 overlap so that any occurrence lies whole within one of them. Each window has
 MinHash values; bands of two rows retrieve the templates that agree in any
 band, with as many bands as find a window with the least sufficient share of
-the template with probability 0.999. Retrieved templates are verified: the
+the template with probability 0.99999. Retrieved templates are verified: the
 exact share of their shingles that the window holds must reach 0.8.
 """
 
@@ -75,7 +75,7 @@ class Templates:
     """Templates by the number of their shingles, with the window, the step
     and the bands that suit that number."""
 
-    ROWS, FOUND = 2, 0.999
+    ROWS, FOUND = 2, 0.99999
 
     def __init__(self, texts: Mapping[str, str], share: float, size: int, seed: int = 42) -> None:
         self.share, self.size = share, size

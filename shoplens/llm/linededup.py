@@ -131,7 +131,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.struct(F.col(f"k{k}").alias("key"), F.lit(k % 2).alias("half")) for k in range(4)])).alias("k")) \
         .select("h", "n", "first", "k.*").filter("key is not null")
     shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
-    candidates = (halves.join(shared, "key").groupBy("h", "n")
+    found = run.stage(halves.join(shared, "key").withColumn("size", F.explode(F.array(F.col("n"), F.col("n") + 1))), "halves")
+    # Of those few, lines of one length or of two that are one apart: equal in one of these sizes.
+    close = found.groupBy("key", "size").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b")
+    candidates = (found.join(close.select("key", "size"), ["key", "size"]).groupBy("h", "n")
                   .agg(F.max(F.col("half") == 0).alias("after"), F.max(F.col("half") == 1).alias("before"),
                        F.first("first").alias("first")))
     by_doc = (candidates.select("first.*", F.struct(F.col("first.line"), "h", "before", "after").alias("c"))

@@ -24,9 +24,12 @@ CREDENTIAL_NAMES = ("access", "api", "auth", "bearer", "client", "credential", "
 #: Runs of this many token characters, or more, are candidates.
 LEAST = 20
 _TOKEN = r"[A-Za-z0-9+/_\-]"
-#: The word before, an assigned name with = or :, quotes, the run, what follows.
-_FOUND = (r"(?:(\S{1,60})[\x20\x09]+)?(?:([A-Za-z0-9_.\-]{1,60})[\"']?[\x20\x09]*[:=][\x20\x09]*)?([\"']?)"
-          rf"(?<!{_TOKEN})({_TOKEN}{{{LEAST},}})(?!{_TOKEN})=?=?([^\x20\x09-\x0D]?)")
+_RUN = rf"{_TOKEN}{{{LEAST},}}"
+#: What stands before a run: a word, an assigned name with = or :, a quote.
+_BEFORE = (r"(?:([^\x20\x09-\x0D]{1,60})[\x20\x09]+)?(?:([A-Za-z0-9_.\-]{1,60})[\"']?[\x20\x09]*[:=][\x20\x09]*)?"
+           r"([\"']?)$")
+#: Characters before a run that are looked at.
+_NEAR = 160
 FEATURES = ("length", "digit_share", "upper_share", "vowel_share", "hex_share", "kind_changes", "case_changes",
             "distinct_share", "coverage", "slashes", "in_path", "assigned", "credential_name", "quoted", "word_before")
 
@@ -36,12 +39,17 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     run of token characters in every text; body is the text's hash and nth
     the number of the run in it."""
     # Most texts have no such run: they cost one search.
-    d = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).filter(
-        F.col("text").rlike(rf"{_TOKEN}{{{LEAST},}}"))
-    found = d.select("doc_id", F.xxhash64("text").alias("body"),
-                     F.posexplode(F.regexp_extract_all("text", F.lit(_FOUND), F.lit(0))).alias("nth", "match"))
-    part = {"before": 1, "name": 2, "quote": 3, "candidate": 4, "after": 5}
-    return found.select("doc_id", "body", "nth", *[F.regexp_extract("match", _FOUND, k).alias(n) for n, k in part.items()])
+    d = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).filter(F.col("text").rlike(_RUN))
+    between = F.split("text", _RUN, -1)  # what stands before, between and after the runs
+    found = d.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.arrays_zip(
+        F.regexp_extract_all("text", F.lit(_RUN), F.lit(0)).alias("candidate"), between.alias("left"),
+        F.slice(between, 2, 2 ** 31 - 2).alias("right"))).alias("nth", "run")).filter("run.candidate is not null")
+    near = F.substring("run.left", -_NEAR, _NEAR)
+    part = {"before": 1, "name": 2, "quote": 3}
+    return (found.select("doc_id", "body", "nth", "run.candidate", near.alias("left"),
+                         F.substring("run.right", 1, 1).alias("after"))
+            .select("doc_id", "body", "nth", *[F.regexp_extract("left", _BEFORE, k).alias(n) for n, k in part.items()],
+                    "candidate", "after"))
 
 
 def dictionary(docs: DataFrame, share: float = 0.001, text_col: str = "text") -> DataFrame:
