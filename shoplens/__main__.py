@@ -15,8 +15,11 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+from .session import cluster_conf
+
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shoplens")
@@ -39,7 +42,14 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
-    spark = SparkSession.builder.appName(f"shoplens-{a.cmd}").getOrCreate()
+    builder = SparkSession.builder.appName(f"shoplens-{a.cmd}")
+    # What spark-submit sets stays as it is, but for the time zone: days are UTC days.
+    given = SparkConf()
+    for k, v in cluster_conf().items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     from .plans import jobs
 
     if a.cmd == "weather-ingest":

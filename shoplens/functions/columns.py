@@ -22,10 +22,18 @@ def col(c: str | Column) -> Column:
 
 # P2 -------------------------------------------------------------------------
 def parse_event_time(c: str | Column, fmt: str, is_string: bool) -> Column:
-    """String → timestamp with ``try_to_timestamp`` (null when unparsable);
-    a column that already holds timestamps passes through."""
+    """String with a zone → its UTC wall clock as ``timestamp_ntz`` (null
+    when unparsable), so hours and days do not depend on the session time
+    zone; a column that already holds timestamps passes through."""
     c = col(c)
-    return F.try_to_timestamp(c, F.lit(fmt)) if is_string else c
+    return utc_wall_clock(F.try_to_timestamp(c, F.lit(fmt))) if is_string else c
+
+
+def utc_wall_clock(ts: Column) -> Column:
+    """Instant → ``timestamp_ntz`` of its UTC date and time."""
+    seconds = (F.unix_micros(ts) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 # S5 -------------------------------------------------------------------------
@@ -89,9 +97,11 @@ def temperature_bucket(
 ) -> Column:
     """``edges`` are exclusive upper bounds. Nulls land in the last bucket
     (published behaviour) unless ``null_bucket`` names another label."""
+    if not edges or len(labels) != len(edges) + 1:
+        raise ValueError(f"{len(edges)} edges need {len(edges) + 1} labels, not {len(labels)}")
     t = col(t)
     expr = F.when(t < F.lit(edges[0]), labels[0])
-    for edge, label in zip(edges[1:], labels[1:-1]):
+    for edge, label in zip(edges[1:], labels[1:-1], strict=True):
         expr = expr.when(t < F.lit(edge), label)
     if null_bucket is not None:
         expr = expr.when(t.isNull(), null_bucket)
@@ -100,10 +110,12 @@ def temperature_bucket(
 
 # money ----------------------------------------------------------------------
 def money(c: str | Column, money_type: str) -> Column:
-    """Exact money value; sums of it do not depend on row order. A value
-    outside the type's range (a corrupt row) counts as missing, like a
-    null price, instead of failing the whole job under ANSI mode."""
-    return col(c).try_cast(money_type)
+    """Exact money value; sums of it do not depend on row order. Null stays
+    null; a value that the type cannot hold (out of range, NaN) fails the
+    job instead of vanishing from a sum."""
+    c = col(c)
+    unfit = F.raise_error(F.concat(F.lit(f"not a {money_type}: "), c.cast("string"))).cast(money_type)
+    return F.coalesce(c.try_cast(money_type), F.when(c.isNotNull(), unfit))
 
 
 def distinct_count(c: str | Column, approx_rsd: float | None = None) -> Column:
@@ -125,30 +137,27 @@ def exact_mean(total: str | Column, n: str | Column) -> Column:
 
 
 # percentages ----------------------------------------------------------------
-_EXACT = "decimal(38,2)"
+# 22 digits before the point and the 8 after it that money has: times 20000
+# is 36 digits, and no step below loses one.
+_EXACT, _WIDE = "decimal(30,8)", "decimal(36,8)"
 
 
 def int_div(a: str | Column, b: str | Column) -> Column:
     """Truncating division of non-negative numbers, exact for counts and
-    2-dp decimals: ``(a - pmod(a, b)) / b`` is an exact integer in decimal
+    money: ``(a - pmod(a, b)) / b`` is an exact integer in decimal
     arithmetic, so no rounding of the quotient can cross an integer."""
-    a, b = col(a).cast(_EXACT), col(b).cast(_EXACT)
+    a, b = col(a).cast(_WIDE), col(b).cast(_WIDE)
     return ((a - F.pmod(a, b)) / b).cast("long")
 
 
 def pct_half_up(part: str | Column, whole: str | Column) -> Column:
-    """round(part / whole * 100, 2) with HALF_UP, computed in integers so it
-    is exact (part, whole >= 0). Null when whole is 0 or null."""
+    """round(part / whole * 100, 2), HALF_UP away from zero, computed in
+    integers so it is exact, for either sign of both. Null when whole is 0
+    or null."""
     p = col(part).cast(_EXACT)
     w = F.nullif(col(whole).cast(_EXACT), F.lit(0).cast(_EXACT))
-    return int_div(p * 20000 + w, w * 2) / F.lit(100.0)
-
-
-def signed_pct_half_up(num: str | Column, den: str | Column) -> Column:
-    """round(num / den * 100, 2), HALF_UP away from zero, den > 0."""
-    n = col(num).cast(_EXACT)
-    d = F.nullif(col(den).cast(_EXACT), F.lit(0).cast(_EXACT))
-    return F.signum(n) * (int_div(F.abs(n) * 20000 + d, d * 2) / F.lit(100.0))
+    size = int_div(F.abs(p) * 20000 + F.abs(w), F.abs(w) * 2) / F.lit(100.0)
+    return F.when((p < 0) != (w < 0), -size).otherwise(size) + F.lit(0.0)  # no negative zero
 
 
 # sampling -------------------------------------------------------------------

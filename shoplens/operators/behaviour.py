@@ -16,7 +16,6 @@ from ..functions.columns import (
     exact_mean,
     money,
     pct_half_up,
-    signed_pct_half_up,
     weekday_name,
 )
 from ..settings import DEFAULT, WEEKEND_DAYS
@@ -86,7 +85,9 @@ def category_behaviour(df: DataFrame, money_type: str = MONEY, approx_rsd: float
     all revenue in %, 2 dp.
 
     The rank window runs after the aggregate, over one row per top-level
-    category, so its single partition holds only the category list."""
+    category, so its single partition holds only the category list (bounded
+    by the catalogue, not by the events). With a negative total, shares are
+    negative for categories that earn."""
     stats = (
         purchases(df)
         .filter(F.col("category_top").isNotNull())
@@ -178,7 +179,7 @@ def weekend_uplift(df: DataFrame) -> DataFrame:
         exact_mean("s_we", "d_we").alias("weekend_avg_daily_purchases"),
         exact_mean("s_wd", "d_wd").alias("weekday_avg_daily_purchases"),
         "d_we", "d_wd",
-        signed_pct_half_up(num, den).alias("weekend_uplift_pct"),
+        pct_half_up(num, den).alias("weekend_uplift_pct"),
     ).withColumnsRenamed({"d_we": "weekend_days", "d_wd": "weekday_days"})
 
 

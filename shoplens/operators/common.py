@@ -10,14 +10,9 @@ def with_grand_total(grouped: DataFrame, measure: str | Column, alias: str) -> D
     """Attach ``sum(measure)`` over all rows of an *aggregated* result.
 
     Use only after a groupBy whose number of groups is small and bounded by
-    the domain (ratings, flags, top-level categories, hours): the window
+    the domain (hours, flags; star ratings and top-level categories, which the
+    catalogue bounds, not the number of rows): the window
     moves just those rows to one task and reads them once, instead of a
     second pass over the raw input."""
     m = F.col(measure) if isinstance(measure, str) else measure
     return grouped.withColumn(alias, F.sum(m).over(Window.partitionBy()))
-
-
-def size_at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows. Counting stops early
-    past the bound (``limit``), so a large ``df`` is not counted in full."""
-    return df.limit(rows + 1).count() <= rows

@@ -10,9 +10,8 @@ one-row aggregate over the test predictions.
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
@@ -21,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import DEFAULT, ENGLISH_STOP_WORDS
-from .sampling import split_train_test, stratified_sample
+from .sampling import split_train_test, stratified_sample, with_split
 
 REGRESSION_FEATURES: tuple[str, ...] = ("avg_temperature", "avg_precipitation", "avg_wind_speed", "avg_humidity")
-COEFFICIENT_NAMES: tuple[str, ...] = ("coeff_temp", "coeff_precip", "coeff_wind", "coeff_humidity")
+COEFFICIENT_NAMES: Mapping[str, str] = dict(zip(
+    REGRESSION_FEATURES, ("coeff_temp", "coeff_precip", "coeff_wind", "coeff_humidity")))
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def token_stages(text_col: str = "review_clean",
@@ -70,23 +71,46 @@ def sentiment_pipeline(
     return Pipeline(stages=token_stages(text_col, stop_words) + model_stages(words_col=words, **model_kw))
 
 
-def _split_sample(reviews: DataFrame, key: str, fractions: Mapping[int, float], label_col: str,
-                  train_fraction: float, seed: int, text_col: str = "review_clean") -> tuple[DataFrame, DataFrame]:
-    """Sample, keep only the columns the model and the report need, and
-    persist that sample: the IDF fit, the logistic-regression passes, the test
-    transform and the accuracy all read it, as Spark ML's own estimators
-    persist uncached input. Its size is the sample, not the corpus; blocks
-    lost with an executor are recomputed from lineage. The sample is spread
-    by key over the cluster's default parallelism, so the fits use every
-    core however few files the input had."""
-    parallelism = reviews.sparkSession.sparkContext.defaultParallelism
-    sample = (
-        stratified_sample(reviews, label_col, fractions, key, seed)
-        .select(key, "rating", label_col, "category", text_col)
-        .repartition(parallelism, key)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    train, test = split_train_test(sample, key, train_fraction, seed)
+def sample_split(reviews: DataFrame, *, key: str, fractions: Mapping[int, float] = DEFAULT.sample_fractions,
+                 label_col: str = "sentiment_label", train_fraction: float = DEFAULT.train_fraction,
+                 seed: int = DEFAULT.seed) -> DataFrame:
+    """M1 + M2: the classifier's sample with a ``split`` column."""
+    return with_split(stratified_sample(reviews, label_col, fractions, key, seed), key, train_fraction, seed)
+
+
+def word_weights(reviews: DataFrame, *, key: str, fractions: Mapping[int, float] = DEFAULT.sample_fractions,
+                 label_col: str = "sentiment_label", train_fraction: float = DEFAULT.train_fraction,
+                 seed: int = DEFAULT.seed, min_doc_freq: int = DEFAULT.min_doc_freq, text_col: str = "review_clean",
+                 stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
+    """M3–M6 by word, before hashing: in how many training texts each word
+    stands and its weight ln((texts + 1) / (doc_freq + 1)), 0 below
+    ``min_doc_freq``, 6 dp."""
+    train = sample_split(reviews, key=key, fractions=fractions, label_col=label_col, train_fraction=train_fraction,
+                         seed=seed).filter(F.col("split") == "train")
+    tokens = PipelineModel(stages=token_stages(text_col, stop_words)).transform(train)
+    words = tokens.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("doc_freq"))
+    texts = train.agg(F.count(F.lit(1)).alias("texts"))  # one row
+    weight = F.round(F.log((F.col("texts") + 1) / (F.col("doc_freq") + 1)), 6)
+    return words.join(F.broadcast(texts)).select(
+        "word", "doc_freq", F.when(F.col("doc_freq") >= min_doc_freq, weight).otherwise(0.0).alias("weight"))
+
+
+def _in_place(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def _tokens(reviews: DataFrame, key: str, fractions: Mapping[int, float], label_col: str, train_fraction: float,
+            seed: int, stop_words: Sequence[str] | None, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the sample, tokenised, with only the columns that the
+    model and the report read. The IDF fit, the regression's passes and the
+    predictions all read what ``stage`` returns."""
+    sample = sample_split(reviews, key=key, fractions=fractions, label_col=label_col, train_fraction=train_fraction,
+                          seed=seed)
+    tokens = PipelineModel(stages=token_stages(stop_words=stop_words)).transform(sample)
+    words = [c for c in ("words_raw", "words") if c in tokens.columns]
+    tokens = stage(tokens.select(key, "rating", label_col, "category", "split", *words), "classifier_tokens")
+    train, test = (tokens.filter(F.col("split") == x).drop("split") for x in ("train", "test"))
     _require_rows(train, "training sample is empty: raise the sample fractions or use more reviews")
     return train, test
 
@@ -106,19 +130,25 @@ def classifier_results(
     label_col: str = "sentiment_label",
     train_fraction: float = DEFAULT.train_fraction,
     seed: int = DEFAULT.seed,
-    **pipeline_kw,
+    stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS,
+    stage: Stage = _in_place,
+    **model_kw,
 ) -> DataFrame:
     """M1 + M2 + M7 + M8 + M9: sample per class, split by key, fit, and
     return the test predictions with a 0/1 ``correct`` flag and the test
-    accuracy (4 dp) on every row."""
-    train, test = _split_sample(reviews, key, fractions, label_col, train_fraction, seed)
-    model = sentiment_pipeline(label_col=label_col, **pipeline_kw).fit(train)
-    pred = model.transform(test).select(
+    accuracy (4 dp) on every row.
+
+    Nothing is cached here. ``stage`` (df, name) → df is the caller's way to
+    materialise the tokenised sample and the predictions, such as
+    ``session.stage_table``; without it both are computed anew where read."""
+    train, test = _tokens(reviews, key, fractions, label_col, train_fraction, seed, stop_words, stage)
+    words = "words" if stop_words is not None else "words_raw"
+    model = Pipeline(stages=model_stages(words_col=words, label_col=label_col, **model_kw)).fit(train)
+    pred = stage(model.transform(test).select(
         key, "rating", label_col, "prediction", "category",
         (F.col(label_col) == F.col("prediction")).cast("int").alias("correct"),
-    )
-    # One scalar metric, evaluated once (as an evaluator would) and attached
-    # as a literal; the predictions themselves stay distributed.
+    ), "classifier_predictions")
+    # One number, from the predictions as they are returned.
     accuracy = pred.agg(F.avg("correct")).first()[0]
     return pred.withColumn("model_accuracy", F.round(F.lit(accuracy).cast("double"), 4))
 
@@ -141,15 +171,13 @@ def classifier_ablation(
     train_fraction: float = DEFAULT.train_fraction,
     seed: int = DEFAULT.seed,
     grid: Sequence[tuple[str, bool, bool, int]] = ABLATION_GRID,
+    stage: Stage = _in_place,
 ) -> DataFrame:
     """Test accuracy of each pipeline configuration on the same split.
 
-    The sample is tokenized once (with and without stop words) and that is
-    persisted, so each configuration only hashes, weights and fits."""
-    train, test = _split_sample(reviews, key, fractions, label_col, train_fraction, seed)
-    tokenize = PipelineModel(stages=token_stages())
-    train_t = tokenize.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test_t = tokenize.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    The sample is tokenised once (with and without stop words) and given to
+    ``stage``, so each configuration only hashes, weights and fits."""
+    train_t, test_t = _tokens(reviews, key, fractions, label_col, train_fraction, seed, ENGLISH_STOP_WORDS, stage)
     rows = None
     for name, use_idf, stops, n_feat in grid:
         model = Pipeline(stages=model_stages(words_col="words" if stops else "words_raw", label_col=label_col,
@@ -176,15 +204,19 @@ def regression_metrics(
     seed: int = DEFAULT.seed,
     max_iter: int = DEFAULT.regression_max_iter,
     reg_param: float = DEFAULT.regression_reg_param,
+    stage: Stage = _in_place,
 ) -> DataFrame:
     """M10 + M12 + M13: linear regression of daily purchases on the weather
     means (rows with a missing feature skipped), split by key; one row with
-    test R² (4 dp), RMSE (2 dp), coefficients and intercept (4 dp)."""
-    # One row per day (bounded by the calendar): persisted once so the fit,
-    # the test transform and the metrics do not each recompute the join.
+    test R² (4 dp), RMSE (2 dp), coefficients and intercept (4 dp). The
+    default features have their fixed coefficient names, any other feature f
+    gives ``coeff_f``.
+
+    One row per day is given to ``stage``, so that the fit and the metrics
+    need not each compute the join."""
+    days = stage(joined.select(key, *features, F.col(label_col).cast("double").alias("label")), "regression_days")
     assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip") \
-        .transform(joined).select(key, "features", F.col(label_col).cast("double").alias("label")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .transform(days).select(key, "features", "label")
     train, test = split_train_test(assembled, key, train_fraction, seed)
     _require_rows(train, "no training days: the purchase and weather dates do not overlap")
     model = LinearRegression(featuresCol="features", labelCol="label",
@@ -196,12 +228,13 @@ def regression_metrics(
         (F.var_pop("label") * F.count(F.lit(1))).alias("sst"),
         F.count(F.lit(1)).alias("n"),
     )
-    coeffs = [float(c) for c in model.coefficients.toArray()]
+    coeffs = {COEFFICIENT_NAMES.get(f, f"coeff_{f}"): float(c)
+              for f, c in zip(features, model.coefficients.toArray(), strict=True)}
     return m.select(
         F.lit("LinearRegression").alias("model"),
         F.round(F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")), 4).alias("r2"),
         F.round(F.sqrt(F.try_divide(F.col("sse"), F.col("n").cast("double"))), 2).alias("rmse"),
-        *[F.round(F.lit(c), 4).alias(name) for c, name in zip(coeffs, COEFFICIENT_NAMES)],
+        *[F.round(F.lit(c), 4).alias(name) for name, c in coeffs.items()],
         F.round(F.lit(float(model.intercept)), 4).alias("intercept"),
         F.col("n").alias("test_rows"),
     )

@@ -1,23 +1,25 @@
 """Preparation operators P1–P13 (narrow projections plus the bot filter).
 
-The only action here is the bounded size check in ``drop_bot_sessions``
-that decides whether the bot-session keys are broadcast; the caller owns
-staging and sinks.
+All lazy: no action and no cached state; the caller owns staging and sinks.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import calendar_fields, parse_event_time, sentiment_label, top_level
 from ..functions.text import clean_text, review_text
 from ..settings import DEFAULT, EVENT_TIME_FORMAT, REVIEW_CATEGORY
-from .common import size_at_most
+
+
+def event_time(df: DataFrame, time_col: str = "event_time", time_format: str = EVENT_TIME_FORMAT) -> Column:
+    """P2 for this frame: parsed if the column is text, else as it is."""
+    is_string = isinstance(df.schema[time_col].dataType, T.StringType)
+    return parse_event_time(time_col, time_format, is_string)
 
 
 def prepare_events(
@@ -31,10 +33,9 @@ def prepare_events(
 ) -> DataFrame:
     """Price as double, event time parsed, calendar fields, top-level
     category, rows missing a required field dropped."""
-    is_string = isinstance(df.schema[time_col].dataType, T.StringType)
     out = df.withColumns({
         "price": F.col("price").try_cast("double"),
-        time_col: parse_event_time(time_col, time_format, is_string),
+        time_col: event_time(df, time_col, time_format),
     })
     out = out.withColumns(calendar_fields(time_col))
     if category_col in df.columns:
@@ -48,28 +49,24 @@ def session_sizes(df: DataFrame, key: str = "user_session") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def drop_bot_sessions(
-    df: DataFrame,
-    key: str = "user_session",
-    max_events: int = 500,
-    broadcast_rows: int | None = 200_000,
-) -> DataFrame:
+def bot_sessions(df: DataFrame, key: str = "user_session", max_events: int = 500) -> DataFrame:
+    """Keys of the sessions with more than ``max_events`` events (few)."""
+    return session_sizes(df, key).filter(F.col("event_count") > max_events).select(key)
+
+
+def drop_bot_sessions(df: DataFrame, key: str = "user_session", max_events: int = 500,
+                      bots: DataFrame | None = None) -> DataFrame:
     """Keep events whose session has at most ``max_events`` events.
 
     Rows with a null session vanish, as in an inner join on the key.
-    Written as an anti join against the *bot* sessions (count above the
-    threshold), which are few: when a size check shows at most
-    ``broadcast_rows`` of them (200k session ids: some 10 MB), that small
-    key set is persisted and broadcast, and the events are filtered where
-    they lie — no shuffle of the events by session, and a giant session
-    costs nothing extra. Above the bound the anti join stays a sort-merge
-    join, whose skewed session partitions AQE splits.
-    ``broadcast_rows=None`` skips the check."""
-    bots = session_sizes(df, key).filter(F.col("event_count") > max_events).select(key)
-    if broadcast_rows is not None:
-        bots = bots.persist(StorageLevel.MEMORY_AND_DISK)
-        if size_at_most(bots, broadcast_rows):
-            bots = F.broadcast(bots)
+    Written as a lazy anti join against the *bot* sessions, which are few:
+    sessions are counted with map-side partial aggregation, and where the
+    size of the key table is known to be small — AQE sees it at run time, or
+    the caller passes ``bots`` that it has staged — Spark broadcasts it and
+    the events are filtered where they lie. Else it is a sort-merge join
+    whose skewed session partitions AQE splits."""
+    if bots is None:
+        bots = bot_sessions(df, key, max_events)
     return df.filter(F.col(key).isNotNull()).join(bots, key, "left_anti")
 
 
@@ -79,12 +76,12 @@ def clean_events(
     max_events: int = DEFAULT.max_session_events,
     session_col: str = "user_session",
     drop_bots: bool = True,
-    broadcast_rows: int | None = 200_000,
+    bots: DataFrame | None = None,
     **prepare_kw,
 ) -> DataFrame:
     """``prepare_events`` then the bot-session filter."""
     out = prepare_events(df, **prepare_kw)
-    return drop_bot_sessions(out, session_col, max_events, broadcast_rows) if drop_bots else out
+    return drop_bot_sessions(out, session_col, max_events, bots) if drop_bots else out
 
 
 def clean_reviews(
@@ -95,9 +92,11 @@ def clean_reviews(
     max_rating: float = DEFAULT.max_rating,
     category: str = REVIEW_CATEGORY,
     timestamp_col: str = "timestamp",
+    drop: bool = True,
 ) -> DataFrame:
     """Rating as double, title + text cleaned, short or unrated or
     out-of-range reviews dropped, sentiment label, review date, category.
+    With ``drop=False`` all rows stay and ``kept`` says which would.
 
     ``review_date`` is the UTC calendar day of the epoch-millisecond stamp,
     independent of the session time zone."""
@@ -106,14 +105,16 @@ def clean_reviews(
         "review_text": review_text("title", "text"),
     })
     # Cheap conditions first; they reach the scan (and the join, if any).
-    out = out.filter(F.col("rating").isNotNull() & F.col("rating").between(min_rating, max_rating))
+    rated = F.coalesce(F.col("rating").between(min_rating, max_rating), F.lit(False))
+    out = out.filter(rated) if drop else out
     # The cleaned text is produced by a one-element generator: Catalyst does
     # not push a filter on a generator's output below it, so the length
     # check cannot copy the regex into a pushed-down filter, and the regex
     # runs once per surviving review. (review_clean is never null: the
     # concatenation of two coalesced strings is never null.)
     out = out.withColumn("review_clean", F.explode(F.array(clean_text("review_text"))))
-    out = out.filter(F.length("review_clean") >= min_length)
+    long_enough = F.length("review_clean") >= min_length
+    out = out.filter(long_enough) if drop else out.withColumn("kept", rated & long_enough)
     day = F.floor(F.col(timestamp_col) / F.lit(86_400_000.0)).try_cast("int")  # absurd stamps → null
     return out.withColumns({
         "sentiment_label": sentiment_label("rating"),

@@ -9,17 +9,18 @@ from __future__ import annotations
 from itertools import combinations
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import (
     as_double,
     distinct_count,
     exact_mean,
     money,
+    pct_half_up,
     rain_flag,
     rain_label,
-    signed_pct_half_up,
     temperature_bucket,
 )
 from ..settings import DEFAULT, WEATHER_PARAMETERS
@@ -32,9 +33,12 @@ CORRELATION_COLUMNS: tuple[str, ...] = (
 )
 
 
-def daily_purchases(events: DataFrame, money_type: str = MONEY, approx_rsd: float | None = None) -> DataFrame:
+def daily_purchases(events: DataFrame, money_type: str = MONEY, approx_rsd: float | None = None,
+                    exact: bool = False) -> DataFrame:
     """Purchases per day — count, revenue, distinct buyers, mean order
-    value. No bot filter (published behaviour); null dates dropped."""
+    value. No bot filter (published behaviour); null dates dropped. Revenue
+    is a double, or the exact decimal sum with ``exact`` (what A13 and A14
+    average without rounding in between)."""
     p = events.filter((F.col("event_type") == "purchase") & F.col("event_date").isNotNull())
     agg = p.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("purchase_count"),
@@ -44,7 +48,7 @@ def daily_purchases(events: DataFrame, money_type: str = MONEY, approx_rsd: floa
     )
     return agg.select(
         "event_date", "purchase_count",
-        as_double("__rev").alias("daily_revenue"),
+        (F.col("__rev") if exact else as_double("__rev")).alias("daily_revenue"),
         "active_buyers",
         exact_mean("__rev", "__n_priced").alias("avg_order_value"),
     )
@@ -63,6 +67,16 @@ def daily_weather(weather: DataFrame, threshold: float = DEFAULT.rain_threshold)
     )
 
 
+def purchase_days(events: DataFrame) -> DataFrame:
+    """The days that ``daily_purchases`` has a row for."""
+    return events.filter((F.col("event_type") == "purchase") & F.col("event_date").isNotNull()).select("event_date").distinct()
+
+
+def weather_days(weather: DataFrame) -> DataFrame:
+    """The days that ``daily_weather`` has a row for."""
+    return weather.select("date").distinct()
+
+
 def join_daily(purchases_daily: DataFrame, weather_daily: DataFrame) -> DataFrame:
     """Inner join on the day; the weather key is dropped. Both sides are
     one row per day, so AQE turns this into a broadcast join at run time."""
@@ -71,12 +85,19 @@ def join_daily(purchases_daily: DataFrame, weather_daily: DataFrame) -> DataFram
     ).drop("date")
 
 
+def exact_revenue(joined: DataFrame, money_type: str) -> Column:
+    """Daily revenue to sum: the decimal as it is, a double as money."""
+    exact = isinstance(joined.schema["daily_revenue"].dataType, T.DecimalType)
+    return F.col("daily_revenue") if exact else money("daily_revenue", money_type)
+
+
 def rain_analysis(joined: DataFrame, money_type: str = MONEY) -> DataFrame:
     """Mean purchases, revenue and buyers on dry vs. rainy days."""
+    revenue = exact_revenue(joined, money_type)
     agg = joined.groupBy("rain_day").agg(
         F.avg("purchase_count").alias("avg_daily_purchases"),
-        F.sum(money("daily_revenue", money_type)).alias("__rev"),
-        F.count(money("daily_revenue", money_type)).alias("__n_rev"),
+        F.sum(revenue).alias("__rev"),
+        F.count(revenue).alias("__n_rev"),
         F.avg("active_buyers").alias("avg_active_buyers"),
         F.count(F.lit(1)).alias("num_days"),
     )
@@ -91,13 +112,14 @@ def rain_analysis(joined: DataFrame, money_type: str = MONEY) -> DataFrame:
 def temperature_buckets(joined: DataFrame, money_type: str = MONEY, null_bucket: str | None = None) -> DataFrame:
     """Mean purchases and revenue per temperature bucket. A day with
     no temperature counts as the last bucket unless ``null_bucket`` is set."""
+    revenue = exact_revenue(joined, money_type)
     agg = (
         joined.withColumn("temp_bucket", temperature_bucket("avg_temperature", null_bucket=null_bucket))
         .groupBy("temp_bucket")
         .agg(
             F.avg("purchase_count").alias("avg_daily_purchases"),
-            F.sum(money("daily_revenue", money_type)).alias("__rev"),
-            F.count(money("daily_revenue", money_type)).alias("__n_rev"),
+            F.sum(revenue).alias("__rev"),
+            F.count(revenue).alias("__n_rev"),
             F.count(F.lit(1)).alias("days_in_group"),
         )
     )
@@ -164,8 +186,8 @@ def rain_gap(joined: DataFrame) -> DataFrame:
     return s.select(
         exact_mean("s_d", "n_d").alias("dry_avg_daily_purchases"),
         exact_mean("s_r", "n_r").alias("rainy_avg_daily_purchases"),
-        signed_pct_half_up(diff, F.col("s_d") * F.col("n_r")).alias("rainy_fewer_pct"),
-        signed_pct_half_up(diff, F.col("s_r") * F.col("n_d")).alias("dry_more_pct"),
+        pct_half_up(diff, F.col("s_d") * F.col("n_r")).alias("rainy_fewer_pct"),
+        pct_half_up(diff, F.col("s_r") * F.col("n_d")).alias("dry_more_pct"),
     )
 
 

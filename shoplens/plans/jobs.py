@@ -20,8 +20,8 @@ from ..operators import models as M
 from ..operators import prep as P
 from ..operators import sentiment as R
 from ..operators import weather as W
-from ..session import stage_table
-from ..settings import DEFAULT, Settings
+from ..session import remove_run, stage_table
+from ..settings import CSV_NAMES, DEFAULT, Settings
 from ..sinks import write_csv, write_results
 from ..sources import files
 from ..sources import weather as SW
@@ -37,8 +37,8 @@ def _log_counts(job: str, counts: dict[str, int]) -> None:
 
 
 # L1: presentation order of each result, applied only at the outermost step
-# (CSV export); operators and the result store stay unordered. A leading
-# "-" sorts descending.
+# (what the job returns and the CSV export); operators and the result store
+# stay unordered. A leading "-" sorts descending.
 ORDER: dict[str, list[str]] = {
     "event_distribution": ["-event_count"],
     "category_behaviour": ["revenue_rank", "category_top"],
@@ -61,14 +61,28 @@ def ordered(df: DataFrame, label: str) -> DataFrame:
     return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in spec])
 
 
-def _sink(results: dict[str, DataFrame], store: str | None, csv: dict[str, str], csv_dir: str | None,
-          settings: Settings) -> None:
+def _sink(results: dict[str, DataFrame], store: str | None, csv_dir: str | None) -> dict[str, DataFrame]:
+    """Write each result once and return all in their order: CSV files and
+    the returned frames come from the store where there is one."""
+    out = {}
+    for label, df in results.items():
+        if store:
+            write_results(df, store, label)
+            df = files.read_results(df.sparkSession, store, label).drop("analysis")
+        out[label] = ordered(df, label)
+        if csv_dir and label in CSV_NAMES:
+            write_csv(out[label], f"{csv_dir.rstrip('/')}/{CSV_NAMES[label]}")
+    return out
+
+
+def _finish(spark: SparkSession, results: dict[str, DataFrame], store: str | None, csv_dir: str | None,
+            run_id: str) -> dict[str, DataFrame]:
+    """Sinks; with a store, nothing reads the staged tables any more and the
+    run's folder goes."""
+    out = _sink(results, store, csv_dir)
     if store:
-        for label, df in results.items():
-            write_results(df, store, label, settings.result_row_cap)
-    if csv_dir:
-        for label, name in csv.items():
-            write_csv(ordered(results[label], label), f"{csv_dir.rstrip('/')}/{name}")
+        remove_run(spark, run_id)
+    return out
 
 
 def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str = "csv",
@@ -78,10 +92,16 @@ def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str
     run_id = run_id or uuid.uuid4().hex
     raw = files.read_shop_events(spark, events_path, fmt)
     counts: dict[str, int] = {}
-    clean = stage_table(
-        P.clean_events(raw, max_events=settings.max_session_events, time_format=settings.event_time_format),
-        "clean_events", run_id, counts,
+    # The text is parsed once; sessions are then counted from one column of
+    # that table, and only the columns that the results read are kept.
+    prepared = stage_table(
+        P.prepare_events(raw, time_format=settings.event_time_format, category_separator=settings.category_separator)
+        .select("event_type", "user_id", "user_session", "price", "category_top", "event_hour", "event_weekday",
+                "event_date"),
+        "prepared_events", run_id, counts,
     )
+    bots = stage_table(P.bot_sessions(prepared, max_events=settings.max_session_events), "bot_sessions", run_id)
+    clean = P.drop_bot_sessions(prepared, max_events=settings.max_session_events, bots=bots)
     _log_counts("behaviour", counts)
     rsd = settings.distinct_rsd
     results = {
@@ -92,11 +112,7 @@ def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str
         "daily_patterns": B.daily_patterns(clean, settings.money_type),
         "daily_trend": B.daily_trend(clean, settings.money_type, rsd),
     }
-    _sink(results, store, {
-        "category_behaviour": "analysis1_category_stats", "daily_trend": "analysis1_daily_trend",
-        "conversion_funnel": "analysis1_funnel", "hourly_patterns": "analysis1_hourly",
-    }, csv_dir, settings)
-    return results
+    return _finish(spark, results, store, csv_dir, run_id)
 
 
 def sentiment_job(spark: SparkSession, reviews_path: str | list[str], *, key: str | None = None,
@@ -131,13 +147,10 @@ def sentiment_job(spark: SparkSession, reviews_path: str | list[str], *, key: st
         "classifier_results": M.classifier_results(
             clean, key=key, fractions=settings.sample_fractions, train_fraction=settings.train_fraction,
             seed=settings.seed, num_features=settings.num_features, min_doc_freq=settings.min_doc_freq,
-            max_iter=settings.classifier_max_iter, reg_param=settings.classifier_reg_param),
+            max_iter=settings.classifier_max_iter, reg_param=settings.classifier_reg_param,
+            stage=lambda df, name: stage_table(df, name, run_id)),
     }
-    _sink(results, store, {
-        "rating_distribution": "analysis2_rating_dist", "verified_stats": "analysis2_verified_stats",
-        "monthly_trend": "analysis2_monthly_trend",
-    }, csv_dir, settings)
-    return results
+    return _finish(spark, results, store, csv_dir, run_id)
 
 
 def weather_job(spark: SparkSession, events_path: str | list[str], weather_path: str | list[str], *,
@@ -152,25 +165,23 @@ def weather_job(spark: SparkSession, events_path: str | list[str], weather_path:
                               list(W.MEASURES), settings.weather_sentinel)
     counts: dict[str, int] = {}
     joined = stage_table(
-        W.join_daily(W.daily_purchases(events, settings.money_type, settings.distinct_rsd),
+        W.join_daily(W.daily_purchases(events, settings.money_type, settings.distinct_rsd, exact=True),
                      W.daily_weather(weather, settings.rain_threshold)),
         "daily_joined", run_id, counts,
     )
     _log_counts("weather", counts)
+    exact, joined = joined, joined.withColumn("daily_revenue", F.col("daily_revenue").cast("double"))
     results = {
         "daily_joined_data": joined,
         "correlation_matrix": W.correlation_matrix(joined),
-        "rain_analysis": W.rain_analysis(joined, settings.money_type),
-        "temperature_buckets": W.temperature_buckets(joined, settings.money_type),
+        "rain_analysis": W.rain_analysis(exact, settings.money_type),
+        "temperature_buckets": W.temperature_buckets(exact, settings.money_type),
         "regression_metrics": M.regression_metrics(
             joined, key="event_date", train_fraction=settings.train_fraction, seed=settings.seed,
-            max_iter=settings.regression_max_iter, reg_param=settings.regression_reg_param),
+            max_iter=settings.regression_max_iter, reg_param=settings.regression_reg_param,
+            stage=lambda df, name: stage_table(df, name, run_id)),
     }
-    _sink(results, store, {
-        "daily_joined_data": "analysis3_joined_data", "correlation_matrix": "analysis3_correlations",
-        "rain_analysis": "analysis3_rain_analysis", "regression_metrics": "analysis3_regression_metrics",
-    }, csv_dir, settings)
-    return results
+    return _finish(spark, results, store, csv_dir, run_id)
 
 
 def weather_ingest_job(spark: SparkSession, payload_path: str | list[str], out_path: str, *,

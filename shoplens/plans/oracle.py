@@ -2,7 +2,7 @@
 
 The SQL rebuilds the fixture views (``sources.fixtures``) as CTEs and then
 states each operator's semantics directly. Exactness rules shared with the
-Spark side: money summed as DECIMAL(18,2), means as one double division,
+Spark side: money summed as DECIMAL(28,8), means as one double division,
 percentages as HALF_UP integer division, counts and small ints cast to
 Spark's types.
 """
@@ -12,27 +12,26 @@ from __future__ import annotations
 from itertools import combinations
 
 from ..functions.columns import hash_threshold
+from ..operators.models import COEFFICIENT_NAMES, REGRESSION_FEATURES
 from ..operators.weather import CORRELATION_COLUMNS
 from ..settings import DEFAULT, ENGLISH_STOP_WORDS
-from ..sources.fixtures import ORDER_PURCHASES_SQL, REVIEWS_SQL, SHOP_EVENTS_SQL, WEATHER_SQL
+from ..sources.fixtures import CITIES_SQL, ORDER_PURCHASES_SQL, REVIEWS_SQL, SHOP_EVENTS_SQL, WEATHER_SQL
 from .catalog import FIXTURE_MAX_EVENTS, FIXTURE_SAMPLE
 
-MONEY = "DECIMAL(18,2)"
+MONEY = "DECIMAL(28,8)"
 WS = r"[ \t\n\x0B\f\r]"  # Java's \s, spelled out for RE2
 
 
 def pct(part: str, whole: str) -> str:
-    return (f"((CAST({part} AS HUGEINT) * 20000 + CAST({whole} AS HUGEINT)) "
-            f"// NULLIF(CAST({whole} AS HUGEINT) * 2, 0)) / 100.0::DOUBLE")
+    """round(100 * part / whole, 2), half away from zero, for either sign."""
+    p, w = f"CAST({part} AS HUGEINT)", f"CAST({whole} AS HUGEINT)"
+    return (f"(CASE WHEN ({p} < 0) <> ({w} < 0) THEN -1 ELSE 1 END * ((abs({p}) * 20000 + abs({w})) "
+            f"// NULLIF(abs({w}) * 2, 0)) / 100.0::DOUBLE + 0.0::DOUBLE)")
 
 
-def cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS HUGEINT)"
-
-
-def spct(num: str, den: str) -> str:
-    return (f"sign({num}) * (((abs(CAST({num} AS HUGEINT)) * 20000 + CAST({den} AS HUGEINT)) "
-            f"// NULLIF(CAST({den} AS HUGEINT) * 2, 0)) / 100.0::DOUBLE)")
+def units(x: str) -> str:
+    """Money as a whole number of its smallest unit."""
+    return f"CAST(CAST({x} AS DECIMAL(28,8)) * 100000000::DECIMAL(10,0) AS HUGEINT)"
 
 
 def mean(total: str, n: str) -> str:
@@ -40,11 +39,11 @@ def mean(total: str, n: str) -> str:
 
 
 def msum(x: str) -> str:
-    return f"sum(TRY_CAST({x} AS {MONEY}))"
+    return f"sum(CAST({x} AS {MONEY}))"
 
 
 def mcount(x: str) -> str:
-    return f"count(TRY_CAST({x} AS {MONEY}))"
+    return f"count(CAST({x} AS {MONEY}))"
 
 
 def key_hash(key: str, salt: str) -> str:
@@ -99,7 +98,7 @@ category_behaviour AS (
   SELECT category_top, total_purchases, CAST(rev AS DOUBLE) AS total_revenue,
          {mean('rev', 'n_priced')} AS avg_price, unique_buyers,
          CAST(rank() OVER (ORDER BY rev DESC) AS INTEGER) AS revenue_rank,
-         {pct(cents('rev'), cents('sum(rev) OVER ()'))} AS revenue_share_pct
+         {pct(units('rev'), units('sum(rev) OVER ()'))} AS revenue_share_pct
   FROM cat
 )"""
 
@@ -169,7 +168,7 @@ def _rq1() -> dict[str, str]:
             SELECT {mean('s_we', 'd_we')} AS weekend_avg_daily_purchases,
                    {mean('s_wd', 'd_wd')} AS weekday_avg_daily_purchases,
                    d_we AS weekend_days, d_wd AS weekday_days,
-                   {spct('s_we * d_wd - s_wd * d_we', 's_wd * d_we')} AS weekend_uplift_pct
+                   {pct('s_we * d_wd - s_wd * d_we', 's_wd * d_we')} AS weekend_uplift_pct
             FROM s"""),
         "peak_hours": q(*EV, """
             h AS (SELECT event_hour, count(*) AS n FROM clean_events
@@ -183,6 +182,18 @@ def _rq1() -> dict[str, str]:
                    CAST(window_purchases AS BIGINT) AS window_purchases,
                    {pct('window_purchases', '(SELECT sum(n) FROM h)')} AS window_share_pct
             FROM w ORDER BY window_purchases DESC, peak_start_hour LIMIT 1"""),
+        "event_lines": q(SHOP_EVENTS_SQL, body="""
+            SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S') || ' UTC' AS event_time, event_type, product_id,
+                   product_id * 10 AS category_id, category_code, split_part(category_code, '.', -1) AS brand,
+                   price, user_id, user_session
+            FROM shop_events"""),
+        "stored_results": q(*EV, HOURLY, body="""
+            SELECT 'hourly_patterns' AS analysis, *, NULL::VARCHAR AS event_type, NULL::BIGINT AS event_count,
+                   NULL::BIGINT AS unique_users FROM hourly
+            UNION ALL BY NAME
+            SELECT 'event_distribution' AS analysis, event_type, count(*) AS event_count,
+                   count(DISTINCT user_id) AS unique_users
+            FROM clean_events WHERE event_type = 'purchase' GROUP BY event_type"""),
         "category_profile": q(SHOP_EVENTS_SQL, PREPARED, body=f"""
             SELECT category_top, count(*) AS event_count,
                    {pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct
@@ -224,6 +235,7 @@ def _keywords(n: int) -> str:
 def _rq2() -> dict[str, str]:
     sample_h = key_hash("doc_id", f"sample-{DEFAULT.seed}")
     split_h = key_hash("doc_id", f"split-{DEFAULT.seed}")
+    split = f"CASE WHEN {split_h} < {hash_threshold(DEFAULT.train_fraction)} THEN 'train' ELSE 'test' END"
     keep = " OR ".join(f"(sentiment_label = {v} AND {sample_h} < {hash_threshold(f)})"
                        for v, f in FIXTURE_SAMPLE.items())
     return {
@@ -251,9 +263,21 @@ def _rq2() -> dict[str, str]:
             FROM clean_reviews GROUP BY sentiment_label"""),
         "stratified_sample": q(*RV, body=f"""
             SELECT doc_id, rating, sentiment_label FROM clean_reviews WHERE {keep}"""),
+        "review_lines": q(REVIEWS_SQL, body="""
+            SELECT rating, title, text, asin, timestamp, helpful_vote, verified_purchase FROM reviews"""),
+        "classifier_split": q(*RV, body=f"SELECT doc_id, sentiment_label, {split} AS split FROM clean_reviews WHERE {keep}"),
+        "classifier_word_weights": q(*RV, f"""
+            train AS (SELECT doc_id, review_clean FROM clean_reviews WHERE ({keep}) AND {split} = 'train')""", f"""
+            words AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(rtrim(review_clean, chr(9) || chr(10) || chr(11)
+                        || chr(12) || chr(13) || ' '), '{WS}')) AS word FROM train)""", f"""
+            counts AS (SELECT word, count(*) AS doc_freq FROM words
+                       WHERE word NOT IN ({sql_list(ENGLISH_STOP_WORDS)}) GROUP BY word)""", body=f"""
+            SELECT word, doc_freq, CASE WHEN doc_freq >= {DEFAULT.min_doc_freq}
+                   THEN round(ln((SELECT count(*) + 1 FROM train) / (doc_freq + 1)), 6) ELSE 0.0 END AS weight
+            FROM counts"""),
         "train_test_split": q(*RV, body=f"""
             SELECT doc_id, sentiment_label,
-                   CASE WHEN {split_h} < {hash_threshold(DEFAULT.train_fraction)} THEN 'train' ELSE 'test' END AS split
+                   {split} AS split
             FROM clean_reviews"""),
     }
 
@@ -266,11 +290,15 @@ weather_clean AS (
   FROM weather
 )"""
 DAILY_PURCHASES = f"""
-daily_purchases AS (
+daily_exact AS (
   SELECT CAST(event_time AS DATE) AS event_date, count(*) AS purchase_count,
-         CAST({msum('price')} AS DOUBLE) AS daily_revenue, count(DISTINCT user_id) AS active_buyers,
+         {msum('price')} AS revenue, count(DISTINCT user_id) AS active_buyers,
          {mean(msum('price'), mcount('price'))} AS avg_order_value
   FROM order_purchases WHERE event_type = 'purchase' AND event_time IS NOT NULL GROUP BY 1
+),
+daily_purchases AS (
+  SELECT event_date, purchase_count, CAST(revenue AS DOUBLE) AS daily_revenue, active_buyers, avg_order_value
+  FROM daily_exact
 )"""
 DAILY_WEATHER = f"""
 daily_weather AS (
@@ -283,14 +311,17 @@ JOINED = """
 joined_daily AS (
   SELECT p.*, w.avg_temperature, w.avg_precipitation, w.avg_wind_speed, w.avg_humidity, w.rain_day
   FROM daily_purchases p JOIN daily_weather w ON p.event_date = w.date
+),
+joined_exact AS (
+  SELECT p.*, w.avg_temperature, w.rain_day FROM daily_exact p JOIN daily_weather w ON p.event_date = w.date
 )"""
 RAIN = f"""
 rain AS (
   SELECT rain_day, avg(purchase_count) AS avg_daily_purchases,
-         {mean(msum('daily_revenue'), mcount('daily_revenue'))} AS avg_daily_revenue,
+         {mean('sum(revenue)', 'count(revenue)')} AS avg_daily_revenue,
          avg(active_buyers) AS avg_active_buyers, count(*) AS num_days,
          CASE WHEN rain_day = 1 THEN 'Rainy Day' ELSE 'Dry Day' END AS rain_label
-  FROM joined_daily GROUP BY rain_day
+  FROM joined_exact GROUP BY rain_day
 )"""
 WX = (ORDER_PURCHASES_SQL, WEATHER_SQL, WEATHER_CLEAN, DAILY_PURCHASES, DAILY_WEATHER, JOINED)
 
@@ -316,16 +347,59 @@ def _correlation() -> str:
              body="\nUNION ALL\n".join(cells))
 
 
+def _regression() -> str:
+    """Ridge regression in closed form. With standardised features and label
+    the normal equations are (R + reg / sd(y)) b = r, R and r being Pearson
+    correlations; Gaussian elimination, one common table expression a step."""
+    n = len(REGRESSION_FEATURES)
+    ok = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in REGRESSION_FEATURES)
+    split = f"{key_hash('event_date', f'split-{DEFAULT.seed}')} < {hash_threshold(DEFAULT.train_fraction)}"
+    x = [f"x{i}" for i in range(n)]
+    days = ("days AS (SELECT CAST(purchase_count AS DOUBLE) AS y, "
+            + ", ".join(f"{c} AS {v}" for c, v in zip(REGRESSION_FEATURES, x))
+            + f", {split} AS train FROM joined_daily WHERE {ok})")
+    moments = ("mom AS (SELECT " + ", ".join(
+        [f"avg({v}) AS m_{v}, stddev_pop({v}) AS s_{v}" for v in [*x, "y"]]
+        + [f"covar_pop({x[i]}, {x[j]}) AS c_{i}_{j}" for i in range(n) for j in range(i, n)]
+        + [f"covar_pop({x[i]}, y) AS c_{i}_{n}" for i in range(n)]) + " FROM days WHERE train)")
+    cell = {(i, j): f"c_{min(i, j)}_{max(i, j)} / (s_x{i} * s_x{j})" for i in range(n) for j in range(n)}
+    cell |= {(i, n): f"c_{i}_{n} / (s_x{i} * s_y)" for i in range(n)}
+    steps = ["a0 AS (SELECT *, " + ", ".join(
+        f"{cell[i, j]}{f' + {DEFAULT.regression_reg_param} / s_y' if i == j else ''} AS e0_{i}_{j}"
+        for i in range(n) for j in range(n + 1)) + " FROM mom)"]
+    for k in range(n):  # clear column k from all other rows
+        steps.append(f"a{k + 1} AS (SELECT *, " + ", ".join(
+            f"e{k}_{k}_{j} / e{k}_{k}_{k} AS e{k + 1}_{i}_{j}" if i == k else
+            f"e{k}_{i}_{j} - e{k}_{i}_{k} * e{k}_{k}_{j} / e{k}_{k}_{k} AS e{k + 1}_{i}_{j}"
+            for i in range(n) for j in range(n + 1)) + f" FROM a{k})")
+    beta = ("beta AS (SELECT " + ", ".join(f"e{n}_{i}_{n} * s_y / s_x{i} AS b{i}" for i in range(n)) + ", m_y - ("
+            + " + ".join(f"e{n}_{i}_{n} * s_y / s_x{i} * m_x{i}" for i in range(n)) + f") AS b FROM a{n})")
+    error = "y - (" + " + ".join(f"b{i} * x{i}" for i in range(n)) + " + b)"
+    names = [COEFFICIENT_NAMES[c] for c in REGRESSION_FEATURES]
+    return q(*WX, days, moments, *steps, beta, f"""
+        err AS (SELECT sum(({error}) * ({error})) AS sse, var_pop(y) * count(*) AS sst, count(*) AS n
+                FROM days, beta WHERE NOT train)""", body=f"""
+        SELECT 'LinearRegression' AS model, round(1.0 - sse / sst, 4) AS r2, round(sqrt(sse / n), 2) AS rmse,
+               {", ".join(f"round(b{i}, 4) AS {c}" for i, c in enumerate(names))}, round(b, 4) AS intercept,
+               n AS test_rows
+        FROM err, beta""")
+
+
 def _rq3() -> dict[str, str]:
     return {
         "sentinel_nulls": q(WEATHER_SQL, WEATHER_CLEAN, body="SELECT * FROM weather_clean"),
-        "weather_payload": q(WEATHER_SQL, """
+        "weather_lines": q(WEATHER_SQL, CITIES_SQL, body="""
+            SELECT date, city, latitude, longitude, temperature, precipitation, wind_speed, humidity
+            FROM weather LEFT JOIN cities USING (city)"""),
+        "regression_metrics": _regression(),
+        "weather_payload": q(WEATHER_SQL, CITIES_SQL, """
             wd AS (SELECT city, date, max(temperature) AS t, max(precipitation) AS p,
                           max(wind_speed) AS w, max(humidity) AS h FROM weather GROUP BY city, date)""", body="""
             SELECT city, date, nullif(t, -999.0) AS temperature, nullif(p, -999.0) AS precipitation,
                    nullif(w, -999.0) AS wind_speed,
-                   CASE WHEN dayofmonth(date) = 1 THEN NULL ELSE nullif(h, -999.0) END AS humidity
-            FROM wd"""),
+                   CASE WHEN dayofmonth(date) = 1 THEN NULL ELSE nullif(h, -999.0) END AS humidity,
+                   latitude, longitude
+            FROM wd LEFT JOIN cities USING (city)"""),
         "daily_purchases": q(ORDER_PURCHASES_SQL, DAILY_PURCHASES, body="SELECT * FROM daily_purchases"),
         "daily_weather": q(WEATHER_SQL, WEATHER_CLEAN, DAILY_WEATHER, body="SELECT * FROM daily_weather"),
         "joined_daily": q(*WX, body="SELECT * FROM joined_daily"),
@@ -335,9 +409,9 @@ def _rq3() -> dict[str, str]:
                         WHEN avg_temperature < 20 THEN 'mild' WHEN avg_temperature < 30 THEN 'warm'
                         ELSE 'hot' END AS temp_bucket,
                    avg(purchase_count) AS avg_daily_purchases,
-                   {mean(msum('daily_revenue'), mcount('daily_revenue'))} AS avg_daily_revenue,
+                   {mean('sum(revenue)', 'count(revenue)')} AS avg_daily_revenue,
                    count(*) AS days_in_group
-            FROM joined_daily GROUP BY 1"""),
+            FROM joined_exact GROUP BY 1"""),
         "correlation_matrix": _correlation(),
         "rain_gap": q(*WX, """
             s AS (SELECT sum(CASE WHEN rain_day = 0 THEN purchase_count END) AS s_d,
@@ -346,8 +420,8 @@ def _rq3() -> dict[str, str]:
                          count_if(rain_day = 1) AS n_r FROM joined_daily)""", body=f"""
             SELECT {mean('s_d', 'n_d')} AS dry_avg_daily_purchases,
                    {mean('s_r', 'n_r')} AS rainy_avg_daily_purchases,
-                   {spct('s_d * n_r - s_r * n_d', 's_d * n_r')} AS rainy_fewer_pct,
-                   {spct('s_d * n_r - s_r * n_d', 's_r * n_d')} AS dry_more_pct
+                   {pct('s_d * n_r - s_r * n_d', 's_d * n_r')} AS rainy_fewer_pct,
+                   {pct('s_d * n_r - s_r * n_d', 's_r * n_d')} AS dry_more_pct
             FROM s"""),
         "weather_coverage": q(WEATHER_SQL, WEATHER_CLEAN, body="""
             SELECT city, count(DISTINCT date) AS days_present, min(date) AS first_day, max(date) AS last_day,
@@ -365,16 +439,16 @@ def _rq3() -> dict[str, str]:
 
 
 def row_counts_sql() -> str:
-    stages = [
-        ("shop_events", "shop_events"), ("clean_events", "clean_events"), ("reviews", "reviews"),
-        ("clean_reviews", "clean_reviews"), ("daily_purchases", "daily_purchases"),
-        ("daily_weather", "daily_weather"), ("joined_daily", "joined_daily"),
-    ]
-    body = "\nUNION ALL\n".join(f"SELECT '{s}' AS stage, count(*) AS row_count FROM {t}" for s, t in stages)
+    # stage → columns that its frame has
+    stages = {"shop_events": 8, "clean_events": 13, "reviews": 8, "clean_reviews": 13, "daily_purchases": 5,
+              "daily_weather": 6, "joined_daily": 10}
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS stage, count(*) AS row_count, {n}::BIGINT AS column_count FROM {t}" for t, n in stages.items())
     return q(*EV, *RV, *WX, body=body)
 
 
 def oracle_sql() -> dict[str, str]:
     out = {**_rq1(), **_rq2(), **_rq3()}
     out["row_counts"] = row_counts_sql()
+    out["exported_csv"] = out["daily_trend"]
     return out

@@ -3,6 +3,7 @@ of intermediate tables in the cluster's checkpoint folder."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -53,14 +54,28 @@ def cluster_conf(shuffle_partitions: int = 2000, advisory_partition_mb: int = 12
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only
+    a local session that names none gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d and spark.sparkContext.master.startswith("local["):
+        d = tempfile.mkdtemp(prefix="shoplens-")
+        spark.conf.set("spark.checkpoint.dir", d)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on the "
                            "cluster's object store) so staged tables survive executor loss")
     return d.rstrip("/")
 
 
+def run_dir(spark: SparkSession, run_id: str) -> str:
+    return f"{checkpoint_dir(spark)}/shoplens/{run_id}"
+
+
+def remove_run(spark: SparkSession, run_id: str) -> None:
+    """Remove all staged tables of a run, once its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark, run_id))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_table(df: DataFrame, name: str, run_id: str | None = None,
                 counts: dict[str, int] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
@@ -70,7 +85,7 @@ def stage_table(df: DataFrame, name: str, run_id: str | None = None,
     With ``counts``, the number of rows written is recorded under ``name``
     through an ``Observation`` — collected by the write itself, no extra job."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/shoplens/{run_id or uuid.uuid4().hex}/{name}"
+    path = f"{run_dir(spark, run_id or uuid.uuid4().hex)}/{name}"
     obs = Observation(name) if counts is not None else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
     out.write.mode("overwrite").parquet(path)

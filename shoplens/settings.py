@@ -78,6 +78,21 @@ CITIES: tuple[tuple[str, float, float], ...] = (
 
 EVENT_TIME_FORMAT: str = "yyyy-MM-dd HH:mm:ss z"
 REVIEW_CATEGORY: str = "Electronics"
+
+# CSV folder of each result that is exported; all results keep their label.
+CSV_NAMES: Mapping[str, str] = MappingProxyType({
+    "category_behaviour": "analysis1_category_stats",
+    "daily_trend": "analysis1_daily_trend",
+    "conversion_funnel": "analysis1_funnel",
+    "hourly_patterns": "analysis1_hourly",
+    "rating_distribution": "analysis2_rating_dist",
+    "verified_stats": "analysis2_verified_stats",
+    "monthly_trend": "analysis2_monthly_trend",
+    "daily_joined_data": "analysis3_joined_data",
+    "correlation_matrix": "analysis3_correlations",
+    "rain_analysis": "analysis3_rain_analysis",
+    "regression_metrics": "analysis3_regression_metrics",
+})
 # ---------------------------------------------------------------------------
 
 
@@ -115,12 +130,11 @@ class Settings:
     weather_sentinel: float = WEATHER_SENTINEL
     regression_max_iter: int = 100
     regression_reg_param: float = 0.01
-    # money is summed exactly in this type, then reported as double
-    money_type: str = "decimal(18,2)"
+    # money is summed exactly in this type (sums: decimal(38,8)), then reported
+    # as double; eight decimals, so that no price is rounded to cents
+    money_type: str = "decimal(28,8)"
     # None: exact distinct counts; a number: HyperLogLog++ with that rsd
     distinct_rsd: float | None = None
-    # result store
-    result_row_cap: int | None = None
 
 
 DEFAULT = Settings()

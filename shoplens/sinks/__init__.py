@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -13,15 +14,14 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_results(df: DataFrame, store: str, label: str, row_cap: int | None = None) -> None:
-    """K2: store rows under ``analysis=label``. Re-running a label replaces
-    only that label's partition (dynamic overwrite), so re-runs never
-    duplicate rows. No cap unless ``row_cap`` is given."""
-    out = df.limit(row_cap) if row_cap is not None else df
-    (
-        out.withColumn("analysis", F.lit(label))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("analysis")
-        .parquet(store)
-    )
+def result_path(store: str, label: str) -> str:
+    """Folder of one label; a label is a plain name, never a path."""
+    if not re.fullmatch(r"[\w.-]+", label):
+        raise ValueError(f"not a result label: {label!r}")
+    return f"{store.rstrip('/')}/analysis={label}"
+
+
+def write_results(df: DataFrame, store: str, label: str) -> None:
+    """K2: store all rows under ``analysis=label``. A re-run replaces exactly
+    that label's rows, also when the new result is empty."""
+    df.drop("analysis").write.mode("overwrite").parquet(result_path(store, label))

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import REVIEWS, SHOP_EVENTS, WEATHER
+from ..settings import CITIES, WEATHER_PARAMETERS
+from .weather import DATE_KEY_FORMAT
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -19,22 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # shop events ------------------------------------------------------------------
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events ⟕ part: clicks become carts, props.k is the product, the part's
-    type and brand form a two-level category code, sessions are user-day."""
+    type and brand form a two-level category code, sessions are user-day.
+    Time (with its zone) and price are text, as in the raw files.
+
+    Each part is one row of the dimension by construction, so Spark drops the
+    join from plans that use none of its columns."""
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", k.alias("k")
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    part = table(spark, sf_dir, "part").groupBy("p_partkey").agg(
+        F.max("p_type").alias("p_type"), F.max("p_brand").alias("p_brand"))
     j = ev.join(part, ev.k == part.p_partkey, "left")
     return j.select(
         "event_id",
-        F.col("ts").alias("event_time"),
+        F.concat(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" UTC")).alias("event_time"),
         F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type")).alias("event_type"),
         F.col("k").alias("product_id"),
         F.when(F.col("k") % 10 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("p_type"), F.lit("."), F.col("p_brand")))
         .alias("category_code"),
-        F.col("value").alias("price"),
+        F.col("value").cast("string").alias("price"),
         "user_id",
         F.when(F.col("event_id") % 50 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("user_id").cast("string"), F.lit("-"),
@@ -45,7 +53,7 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SHOP_EVENTS_SQL = """
 shop_events AS (
-  SELECT e.event_id, e.ts AS event_time,
+  SELECT e.event_id, CAST(date_trunc('second', e.ts) AS TIMESTAMP) AS event_time,
          CASE WHEN e.event_type = 'click' THEN 'cart' ELSE e.event_type END AS event_type,
          e.k AS product_id,
          CASE WHEN e.k % 10 = 0 THEN NULL ELSE p.p_type || '.' || p.p_brand END AS category_code,
@@ -54,7 +62,8 @@ shop_events AS (
               ELSE CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) END AS user_session
   FROM (SELECT event_id, ts, user_id, event_type, value,
                TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
-  LEFT JOIN part p ON p.p_partkey = e.k
+  LEFT JOIN (SELECT p_partkey, max(p_type) AS p_type, max(p_brand) AS p_brand FROM part GROUP BY p_partkey) p
+    ON p.p_partkey = e.k
 )"""
 
 
@@ -80,8 +89,9 @@ order_purchases AS (
 
 # reviews ----------------------------------------------------------------------
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents ⟕ labels: quality and toxicity become a star rating
-    (null when unlabelled), the source is the product, one day per doc."""
+    """documents ⟕ labels: quality and toxicity become a star rating; an
+    unlabelled document's comes from its id, one in 29 of them without any.
+    The source is the product, one day per doc."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
@@ -91,6 +101,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((q == 0) & (t == 0), 3.0)
         .when(q == 1, 2.0)
         .when(q == 0, 1.0)
+        .when(i % 29 != 0, 1.0 + i % 5)
     )
     return j.select(
         "doc_id",
@@ -110,7 +121,8 @@ reviews AS (
          CAST(CASE WHEN l.quality = 1 AND l.toxic = 0 THEN CASE WHEN d.doc_id % 3 = 0 THEN 4.0 ELSE 5.0 END
                    WHEN l.quality = 0 AND l.toxic = 0 THEN 3.0
                    WHEN l.quality = 1 THEN 2.0
-                   WHEN l.quality = 0 THEN 1.0 END AS DOUBLE) AS rating,
+                   WHEN l.quality = 0 THEN 1.0
+                   WHEN d.doc_id % 29 <> 0 THEN 1.0 + d.doc_id % 5 END AS DOUBLE) AS rating,
          CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE d.source END AS title,
          d.text, d.source AS asin,
          1577836800000 + d.doc_id * 86400000 AS timestamp,
@@ -164,3 +176,62 @@ weather AS (
                 JOIN region ON n_regionkey = r_regionkey
 )"""
 
+
+def weather_payloads(weather: DataFrame, missing_humidity_day: int = 1) -> DataFrame:
+    """Service-shaped payloads built from weather rows (for tests and the
+    registered query): per city, one map per parameter from date key to
+    the day's value (max over that city's observations). Humidity keys of
+    day-of-month ``missing_humidity_day`` are left out, so lookups of a
+    missing key are exercised. The map per city is bounded by the number of
+    calendar days in the window."""
+    daily = weather.groupBy("city", "date").agg(*[F.max(n).alias(n) for _, n in WEATHER_PARAMETERS])
+    key = F.date_format("date", DATE_KEY_FORMAT)
+
+    def entries(name: str, keep=None):
+        e = F.struct(key.alias("k"), F.col(name).alias("v"))
+        return F.collect_list(e if keep is None else F.when(keep, e)).alias(name)
+
+    grouped = daily.groupBy("city").agg(*[
+        entries(name, F.dayofmonth("date") != missing_humidity_day if name == "humidity" else None)
+        for _, name in WEATHER_PARAMETERS
+    ])
+    parameter = F.create_map(*[
+        x for code, name in WEATHER_PARAMETERS for x in (F.lit(code), F.map_from_entries(F.col(name)))
+    ])
+    payload = F.to_json(F.struct(F.struct(parameter.alias("parameter")).alias("properties")))
+    return grouped.select("city", payload.alias("payload"))
+
+
+def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City dimension of the fixture: each region stands for one of the five
+    cities, in key order, and has its coordinates."""
+    key = F.col("r_regionkey")
+    lat, lon = (F.element_at(F.array(*[F.lit(c[k]) for c in CITIES]), key + 1) for k in (1, 2))
+    return table(spark, sf_dir, "region").select(F.col("r_name").alias("city"), lat.alias("latitude"), lon.alias("longitude"))
+
+
+CITIES_SQL = f"""
+cities AS (
+  SELECT r_name AS city, [{", ".join(f"{c[1]}::DOUBLE" for c in CITIES)}][r_regionkey + 1] AS latitude,
+         [{", ".join(f"{c[2]}::DOUBLE" for c in CITIES)}][r_regionkey + 1] AS longitude
+  FROM region
+)"""
+
+
+# text lines, as the raw inputs hold them -----------------------------------------
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shop events as CSV lines in the order of the declared schema."""
+    ev = shop_events(spark, sf_dir).withColumns({
+        "category_id": F.col("product_id") * 10, "brand": F.substring_index("category_code", ".", -1)})
+    return ev.select(F.to_csv(F.struct(*SHOP_EVENTS.fieldNames())).alias("line"))
+
+
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews as JSON lines."""
+    return reviews(spark, sf_dir).select(F.to_json(F.struct(*REVIEWS.fieldNames())).alias("line"))
+
+
+def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather observations with their city's coordinates as CSV lines."""
+    rows = weather(spark, sf_dir).join(cities(spark, sf_dir), "city", "left")
+    return rows.select(F.to_csv(F.struct(*WEATHER.fieldNames())).alias("line"))

@@ -54,31 +54,6 @@ def flatten_weather_payload(
     )
 
 
-def weather_payloads(weather: DataFrame, missing_humidity_day: int = 1) -> DataFrame:
-    """Service-shaped payloads built from weather rows (for tests and the
-    registered query): per city, one map per parameter from date key to
-    the day's value (max over that city's observations). Humidity keys of
-    day-of-month ``missing_humidity_day`` are left out, so lookups of a
-    missing key are exercised. The map per city is bounded by the number of
-    calendar days in the window."""
-    daily = weather.groupBy("city", "date").agg(*[F.max(n).alias(n) for _, n in WEATHER_PARAMETERS])
-    key = F.date_format("date", DATE_KEY_FORMAT)
-
-    def entries(name: str, keep=None):
-        e = F.struct(key.alias("k"), F.col(name).alias("v"))
-        return F.collect_list(e if keep is None else F.when(keep, e)).alias(name)
-
-    grouped = daily.groupBy("city").agg(*[
-        entries(name, F.dayofmonth("date") != missing_humidity_day if name == "humidity" else None)
-        for _, name in WEATHER_PARAMETERS
-    ])
-    parameter = F.create_map(*[
-        x for code, name in WEATHER_PARAMETERS for x in (F.lit(code), F.map_from_entries(F.col(name)))
-    ])
-    payload = F.to_json(F.struct(F.struct(parameter.alias("parameter")).alias("properties")))
-    return grouped.select("city", payload.alias("payload"))
-
-
 def read_weather_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Payload files as rows (city, payload): each file holds one city's
     service response and is read whole; the city is the file name without
@@ -98,6 +73,6 @@ def city_dimension(spark: SparkSession) -> DataFrame:
 
 
 def attach_city_coordinates(observations: DataFrame, cities: DataFrame) -> DataFrame:
-    """Latitude and longitude per observation. The city table has a
-    fixed, small number of rows, so it is broadcast."""
-    return observations.join(F.broadcast(cities), "city", "left")
+    """Latitude and longitude per observation. Spark broadcasts the city
+    table where its size allows."""
+    return observations.join(cities, "city", "left")

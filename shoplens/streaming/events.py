@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import as_double, exact_mean, money
+from ..functions.columns import as_double, exact_mean, money, utc_wall_clock
 from ..operators.prep import prepare_events
 from ..schemas import SHOP_EVENTS
 from ..settings import DEFAULT, EVENT_TIME_FORMAT
@@ -29,7 +29,8 @@ def read_event_stream(spark: SparkSession, source_dir: str, fmt: str = "csv",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return r.option("header", True).csv(source_dir)
+        # Columns are taken by position: a file with another header fails the stream.
+        return r.option("header", True).option("enforceSchema", False).csv(source_dir)
     if fmt == "json":
         return r.json(source_dir)
     return r.parquet(source_dir)
@@ -57,14 +58,19 @@ def daily_purchase_stream(events: DataFrame, *, watermark: str = "1 day",
     exact revenue and mean order value; a day is emitted (append mode) once
     the watermark passes its end. Rows up to ``watermark`` late are always
     counted; older rows may be dropped (Spark guarantees only the former)."""
-    p = events.filter(F.col("event_type") == "purchase").withWatermark("event_time", watermark)
+    p = events.filter(F.col("event_type") == "purchase")
+    if isinstance(p.schema["event_time"].dataType, T.TimestampNTZType):
+        # Watermarks need an instant; prepared times are UTC wall clocks.
+        local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("event_time"))
+        p = p.withColumn("event_time", local.cast("timestamp"))
+    p = p.withWatermark("event_time", watermark)
     agg = p.groupBy(F.window("event_time", "1 day").alias("day")).agg(
         F.count(F.lit(1)).alias("purchase_count"),
         F.sum(money("price", money_type)).alias("__rev"),
         F.count(money("price", money_type)).alias("__n_priced"),
     )
     return agg.select(
-        F.to_date(F.col("day.start")).alias("event_date"),
+        utc_wall_clock(F.col("day.start")).cast("date").alias("event_date"),
         "purchase_count",
         as_double("__rev").alias("daily_revenue"),
         exact_mean("__rev", "__n_priced").alias("avg_order_value"),

@@ -69,6 +69,9 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
         try:
             sdf = qs[name](spark, sf_dir)
             pdf = sdf.toPandas()
+            for f in sdf.schema.fields:  # pandas writes whole numbers with nulls as floats
+                if f.dataType.typeName() in ("byte", "short", "integer", "long"):
+                    pdf[f.name] = pdf[f.name].astype("Int64")
         except Exception as e:  # noqa: BLE001
             report[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             print(name, report[name]); continue

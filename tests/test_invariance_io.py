@@ -196,3 +196,88 @@ def test_empty_training_data_gives_a_clear_error(spark):
                                "doc_id long, rating double, review_clean string, sentiment_label int, category string")
     with pytest.raises(ValueError, match="training sample is empty"):
         M.classifier_results(df, key="doc_id", fractions={2: 0.0})
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp):
+    """A header in another order, and extra columns, load right; a header
+    without a declared column fails."""
+    from shoplens.operators import prep
+    from shoplens.schemas import SHOP_EVENTS
+    from shoplens.sources.files import read_shop_events
+
+    names = SHOP_EVENTS.fieldNames()
+    row = {"event_time": "2019-10-01 10:00:00 UTC", "event_type": "view", "product_id": "1", "price": "2.5", "user_id": "3",
+           "user_session": "s", "category_code": "a.b", "brand": "b", "category_id": "9"}
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/in/a.csv", "w") as f:
+        order = ["extra", *reversed(names)]
+        f.write(",".join(order) + "\n" + ",".join(row.get(n, "x") for n in order) + "\n")
+    df = read_shop_events(spark, f"{tmp}/in/*.csv")
+    assert df.schema == SHOP_EVENTS and prep.prepare_events(df).count() == 1
+    assert df.first()["event_type"] == "view" and df.first()["price"] == 2.5
+    with open(f"{tmp}/in/b.csv", "w") as f:  # another header than the first file's
+        f.write(",".join(names) + "\n" + ",".join(row[n] for n in names) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_shop_events(spark, f"{tmp}/in/*.csv").collect()
+    with open(f"{tmp}/c.csv", "w") as f:
+        f.write("event_time,event_type\nx,y\n")
+    with pytest.raises(ValueError, match="lacks"):
+        read_shop_events(spark, f"{tmp}/c.csv")
+
+
+def test_an_empty_rerun_replaces_the_stored_rows(spark, tmp):
+    df = spark.createDataFrame([(i, "x") for i in range(5)], "n long, t string")
+    write_results(df, f"{tmp}/store", "some")
+    write_results(df, f"{tmp}/store", "other")
+    write_results(df.filter("n > 9"), f"{tmp}/store", "some")
+    assert read_results(spark, f"{tmp}/store", "some").count() == 0
+    assert read_results(spark, f"{tmp}/store", "other").count() == 5
+    assert read_results(spark, f"{tmp}/store", "other", n=3, t="x").collect()[0].asDict() == {
+        "n": 3, "t": "x", "analysis": "other"}
+    assert read_results(spark, f"{tmp}/store").count() == 5
+    assert read_results(spark, f"{tmp}/store", "never", n=1).count() == 0
+    with pytest.raises(ValueError, match="label"):
+        write_results(df, f"{tmp}/store", "../up")
+
+
+def test_coefficients_are_named_by_their_features(spark):
+    import datetime as dt
+
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), float(i % 7), float(i % 5), 3.0 * (i % 7) - 2.0 * (i % 5) + 1)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "event_date date, avg_humidity double, other double, purchase_count double")
+    r = M.regression_metrics(df, key="event_date", features=["avg_humidity", "other"], reg_param=0.0).first().asDict()
+    assert (r["coeff_humidity"], r["coeff_other"], r["intercept"]) == (3.0, -2.0, 1.0) and "coeff_temp" not in r
+
+
+def test_word_weights_recompute_hashing_idf_and_accuracy(spark):
+    """The classifier's deterministic half, from Spark's own output."""
+    from collections import Counter
+
+    from pyspark.ml.feature import IDF, HashingTF
+
+    from shoplens.settings import ENGLISH_STOP_WORDS
+
+    clean = catalog.clean_reviews(spark, SF)
+    split = M.sample_split(clean, key="doc_id", fractions=catalog.FIXTURE_SAMPLE)
+    texts = [[w for w in dict.fromkeys(r.review_clean.split()) if w not in set(ENGLISH_STOP_WORDS)]
+             for r in split.filter("split = 'train'").collect()]
+    df = Counter(w for t in texts for w in t)
+    got = {r.word: r for r in M.word_weights(clean, key="doc_id", fractions=catalog.FIXTURE_SAMPLE).collect() if r.word}
+    assert {w: r.doc_freq for w, r in got.items()} == dict(df)
+    import math
+
+    for w, n in df.items():
+        want = round(math.log((len(texts) + 1) / (n + 1)), 6) if n >= 5 else 0.0
+        assert abs(got[w].weight - want) < 2e-6
+    # With as many features as nearly exclude collisions, Spark's IDF has these weights.
+    frame = spark.createDataFrame([(t,) for t in texts], "words array<string>")
+    tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 20)
+    idf = IDF(inputCol="tf", outputCol="x", minDocFreq=5).fit(tf.transform(frame)).idf.toArray()
+    common = [w for w, n in df.most_common(50)]
+    assert all(abs(idf[tf.indexOf(w)] - got[w].weight) < 0.05 for w in common)
+    out = M.classifier_results(clean, key="doc_id", fractions=catalog.FIXTURE_SAMPLE).collect()
+    assert {r.doc_id for r in out} == {r.doc_id for r in split.filter("split = 'test'").collect()}
+    accuracy = sum(r.sentiment_label == r.prediction for r in out) / len(out)
+    assert all(r.model_accuracy == round(accuracy + 1e-12, 4) for r in out)
+    assert all(r.correct == (r.sentiment_label == r.prediction) for r in out)

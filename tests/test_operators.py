@@ -228,12 +228,12 @@ def test_chart_weekday_order(spark):
 
 
 def test_percentages_match_decimal_half_up(spark):
-    """pct_half_up / signed_pct_half_up equal Python's Decimal HALF_UP on
-    random counts, cents and signed numerators (one Spark job)."""
+    """pct_half_up equals Python's Decimal HALF_UP on random counts and
+    money, numerators and denominators of either sign (one Spark job)."""
     import random
     from decimal import ROUND_HALF_UP, Decimal
 
-    from shoplens.functions.columns import pct_half_up, signed_pct_half_up
+    from shoplens.functions.columns import pct_half_up
 
     rnd = random.Random(7)
     rows = []
@@ -245,7 +245,7 @@ def test_percentages_match_decimal_half_up(spark):
     rows += [(1, 8, 1), (1, 3, -1), (2, 3, 2), (5, 1000, -5), (1, 200, 1), (0, 7, 0)]
     df = spark.createDataFrame(rows, "part long, whole long, num long")
     got = df.select("part", "whole", "num", pct_half_up("part", "whole").alias("p"),
-                    signed_pct_half_up("num", "whole").alias("s")).collect()
+                    pct_half_up("num", -F.col("whole")).alias("s")).collect()
 
     def ref(n, d):
         q = (Decimal(abs(n)) * 100 / Decimal(d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
@@ -253,24 +253,34 @@ def test_percentages_match_decimal_half_up(spark):
 
     for r in got:
         assert r.p == ref(r.part, r.whole), r
-        assert r.s == ref(r.num, r.whole), r
+        assert r.s == ref(-r.num, r.whole), r
     money = spark.createDataFrame([("12.34", "100.00"), ("0.01", "3.00")], "a string, b string") \
         .select(pct_half_up(F.col("a").cast("decimal(18,2)"), F.col("b").cast("decimal(18,2)")).alias("p"))
     assert [r.p for r in money.collect()] == [12.34, 0.33]
 
 
 def test_bot_filter_paths_agree_under_a_hot_session(spark):
-    """One session holds a third of all rows: the broadcast anti join, the
-    sort-merge fallback (bound 0) and no size check give the same rows."""
+    """One session holds a third of all rows: the plain anti join, a
+    broadcast one and bots given by the caller keep the same rows."""
     rows = [ev(session="hot", user=i) for i in range(600)]
     rows += [ev(session=f"s{i % 400}", user=i) for i in range(1200)]
     df = P.prepare_events(events(spark, rows).repartition(7))
-    runs = [P.drop_bot_sessions(df, max_events=3, broadcast_rows=b) for b in (200_000, 0, None)]
+    bots = P.bot_sessions(df, max_events=3)
+    runs = [P.drop_bot_sessions(df, max_events=3, bots=b) for b in (None, F.broadcast(bots), bots.hint("merge"))]
     got = [sorted((r.user_session, r.user_id) for r in d.select("user_session", "user_id").collect()) for d in runs]
     assert got[0] == got[1] == got[2]
     assert len(got[0]) == 1200 and all(s != "hot" for s, _ in got[0])
 
 
+def test_bot_filter_sees_rows_that_another_writer_added(spark, tmp):
+    """No state is kept between two reads of one folder."""
+    path = f"{tmp}/events"
+    P.prepare_events(events(spark, [ev(session="s", user=i) for i in range(3)])).write.parquet(path)
+    assert P.drop_bot_sessions(spark.read.parquet(path), max_events=5).count() == 3
+    P.prepare_events(events(spark, [ev(session="s", user=i) for i in range(4)])).write.mode("append").parquet(path)
+    assert P.drop_bot_sessions(spark.read.parquet(path), max_events=5).count() == 0
+
+
 def test_weekend_uplift_exact(spark):
     # Sat 2019-10-05: 3 purchases, Sun 10-06: 2, Mon 10-07: 2, Tue 10-08: 2
     days = {"05": 3, "06": 2, "07": 2, "08": 2}
@@ -315,7 +325,48 @@ def test_review_length_stats(spark):
     assert out == {2: (2, 11, 12.0, 13), 0: (1, 15, 15.0, 15)}
 
 
-def test_out_of_range_price_counts_as_missing(spark):
-    rows = [ev(price=10.0, session="a"), ev(price=1e20, session="b"), ev(price=5.0, session="c")]
+def test_a_price_that_no_money_type_holds_fails_the_job(spark):
+    rows = [ev(price=10.0, session="a"), ev(price=1e21, session="b"), ev(price=5.0, session="c")]
+    with pytest.raises(Exception, match="not a decimal"):
+        B.hourly_patterns(P.clean_events(events(spark, rows))).collect()
+    rows[1] = ev(price=None, session="b")  # a missing price is no failure
     r = B.hourly_patterns(P.clean_events(events(spark, rows))).collect()[0]
     assert (r.purchase_count, r.total_revenue, r.avg_order_value) == (3, 15.0, 7.5)
+
+
+def test_small_prices_are_not_rounded_away(spark):
+    rows = [ev(price=0.004, session=f"s{i}") for i in range(1000)]
+    assert B.hourly_patterns(P.clean_events(events(spark, rows))).collect()[0].total_revenue == 4.0
+
+
+def test_large_daily_revenue_stays_in_the_mean(spark):
+    import datetime as dt
+
+    rows = [(dt.date(2020, 1, k + 1), 1, r, 1, 0) for k, r in enumerate([2e16, 100.0])]
+    joined = spark.createDataFrame(
+        rows, "event_date date, purchase_count long, daily_revenue double, active_buyers long, rain_day int")
+    assert W.rain_analysis(joined).collect()[0].avg_daily_revenue == (2e16 + 100) / 2
+
+
+def test_share_of_a_negative_total(spark):
+    rows = [ev(cat="a.x", price=-3.0, session="1"), ev(cat="b.x", price=1.0, session="2")]
+    got = {r.category_top: r.revenue_share_pct for r in B.category_behaviour(P.clean_events(events(spark, rows))).collect()}
+    assert got == {"a": 150.0, "b": -50.0}
+
+
+def test_bucket_labels_must_fit_the_edges():
+    from shoplens.functions.columns import temperature_bucket
+
+    with pytest.raises(ValueError, match="labels"):
+        temperature_bucket("t", edges=(0.0, 10.0), labels=("cold", "warm"))
+
+
+def test_hours_are_utc_in_any_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = P.prepare_events(events(spark, [ev(t="2019-10-01 10:00:00 UTC"), ev(t="2019-11-03 06:30:00 UTC"),
+                                            ev(t="nonsense")])).orderBy("event_time").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [(x.event_hour, str(x.event_date)) for x in r] == [(10, "2019-10-01"), (6, "2019-11-03")]

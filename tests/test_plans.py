@@ -25,15 +25,13 @@ def test_keywords_limit_each_group_before_the_shuffle(spark):
 
 
 def test_bot_filter_is_a_broadcast_anti_join_without_session_shuffle(spark):
-    spark.catalog.clearCache()
     plan = executed_plan(B.category_behaviour(catalog.clean_events(spark, SF)))
-    # the only exchange keyed by session is the (partial-aggregated) count
-    # inside the cached bot-key stage; events themselves are never shuffled
-    # by session: every exchange in the main plan is keyed by the groupBy.
-    main = plan.split("InMemoryRelation")[0]
-    assert "BroadcastHashJoin" in main and "LeftAnti" in main
-    assert "SortMergeJoin" not in main
-    assert "hashpartitioning(user_session" not in main
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    # The one exchange by session carries partial counts; the events
+    # themselves are never shuffled by session.
+    lines = plan.split("\n")
+    by_session = [i for i, line in enumerate(lines) if "hashpartitioning(user_session" in line]
+    assert len(by_session) == 1 and "partial_count" in lines[by_session[0] + 1]
 
 
 def test_filters_and_columns_reach_the_parquet_scan(spark, tmp):
@@ -52,12 +50,33 @@ def test_correlation_is_one_aggregate_pass(spark):
 
 
 def test_no_cross_joins_anywhere(spark):
-    import __spark_entry__ as E
-
-    skip = {"classifier_results", "classifier_ablation", "regression_metrics"}
-    for name, q in E.queries().items():
+    # One-row sides (a total, a metric) are no cross joins of data.
+    skip = {"classifier_results", "classifier_ablation", "regression_metrics", "classifier_word_weights"}
+    for name, q in catalog.queries().items():
         if name in skip:
             continue
         plan = executed_plan(q(spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
+
+def test_part_is_read_only_where_its_columns_are_used(spark):
+    plan = executed_plan(catalog.queries()["event_distribution"](spark, SF))
+    assert "p_partkey" not in plan and "p_type" not in plan
+    assert "p_partkey" in executed_plan(catalog.queries()["category_profile"](spark, SF))
+
+
+def test_no_shuffle_by_product_without_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = executed_plan(catalog.queries()["event_distribution"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(k#" not in plan and "hashpartitioning(product_id" not in plan
+
+
+def test_no_query_leaves_anything_cached(spark):
+    spark.catalog.clearCache()
+    for name, q in catalog.queries().items():
+        q(spark, SF).count()
+        assert not spark.sparkContext._jsc.getPersistentRDDs(), name
