@@ -19,15 +19,16 @@ from operator import add
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import bound_batches, col
 
 SPACE_MARK = "▁"
-#: Chunks that a task remembers; it forgets all of them beyond this.
-MEMORY = 1_000_000
+#: Chunks that a task remembers before it begins anew; those of the time
+#: before stay until then, and what is met again is kept.
+MEMORY = 300_000
 #: Characters of a text, or of texts together, whose chunks are held at once.
 PORTION = 500_000
 
@@ -56,6 +57,7 @@ class Vocabulary:
         if sp.normalize("  A\té ﬁ\n ") != SPACE_MARK * 3 + "A\té" + SPACE_MARK + "ﬁ\n" + SPACE_MARK:
             raise ValueError("the model rewrites its input beyond marking spaces")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk: the best-scored adjacent pair is merged until no
@@ -117,13 +119,18 @@ class Vocabulary:
     def learn(self, keys: set[str]) -> None:
         """Merge chunks (named without their first space mark) that are not
         known yet, and compare each with the library, in one call."""
-        order = [k for k in keys if k not in self.known]
-        if len(self.known) + len(order) > MEMORY:
-            self.known.clear()
-            order = list(keys)
+        if len(self.known) > MEMORY:
+            self.before, self.known = self.known, {}
+        new = []
+        for k in keys:
+            if k not in self.known:
+                if k in self.before:
+                    self.known[k] = self.before[k]
+                else:
+                    new.append(k)
         # The library itself puts a space mark before a text, unless it is empty.
-        theirs = self.library.encode([k.replace(SPACE_MARK, " ") for k in order], num_threads=1)
-        for key, ids in zip(order, theirs):
+        theirs = self.library.encode([k.replace(SPACE_MARK, " ") for k in new], num_threads=1)
+        for key, ids in zip(new, theirs):
             mine = self.merge(SPACE_MARK + key)
             if mine != ids and key:
                 raise ValueError(f"merge of {key!r}: {mine}; the library has {ids}")
@@ -166,9 +173,6 @@ class Vocabulary:
                 size = 0
         yield from (first + x + last for x in found())
 
-    def decode(self, ids: Sequence[int]) -> str:
-        return self.library.decode([int(i) for i in ids])
-
 
 def _portions(text: str) -> Iterator[str]:
     """A text cut at single spaces; the mark that begins each portion stands
@@ -192,11 +196,15 @@ def encode(docs: DataFrame, model: str, out: str = "ids", text_col: str = "text"
     with begin and end (null or empty text: only these two). ``model`` names
     a file that every executor can read. A column named ``out`` is replaced;
     all others stay. Empty table: no rows."""
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    bound_batches(docs.sparkSession)
+
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = Vocabulary(model)
         for texts in batches:
-            yield pd.Series([np.frombuffer(x, "<i4") for x in v.encode(texts)], dtype=object)
+            packed = list(v.encode(t.as_py() for t in texts))
+            ends = np.cumsum([0, *map(len, packed)]) // 4
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
 
     return docs.withColumn(out, ids(col(text_col)))
 
@@ -204,11 +212,13 @@ def encode(docs: DataFrame, model: str, out: str = "ids", text_col: str = "text"
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the string column ``out``: the library's decode(ids) of
     an array<int> column (null: null)."""
-    @F.pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    bound_batches(docs.sparkSession)
+
+    @F.arrow_udf("string")
+    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = Vocabulary(model)
         for ids in batches:
-            yield pd.Series([None if x is None else v.decode(x) for x in ids], dtype=object)
+            yield pa.array([None if x.as_py() is None else v.library.decode(x.as_py()) for x in ids], pa.string())
 
     return docs.withColumn(out, text(col(ids_col)))
 
@@ -220,11 +230,15 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
 
     Null and empty texts have the two ids begin and end and decode to the
     empty string. Repeated rows get equal rows; extra columns are ignored."""
-    @F.pandas_udf("ids binary, decoded string")
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    bound_batches(docs.sparkSession)
+
+    @F.arrow_udf("ids binary, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = Vocabulary(model)
         for texts in batches:
-            rows = [(x, v.library.decode(np.frombuffer(x, "<u4").tolist())) for x in v.encode(texts)]
-            yield pd.DataFrame(rows, columns=["ids", "decoded"], dtype=object)
+            ids = list(v.encode(t.as_py() for t in texts))
+            decoded = [v.library.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
+                                             ["ids", "decoded"])
 
     return docs.select(col(id_col).alias("doc_id"), both(col(text_col)).alias("x")).select("doc_id", "x.*")
