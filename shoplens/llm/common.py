@@ -3,6 +3,7 @@ staged tables in the cluster's shared folder, and connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,27 @@ def shared_dir(spark: SparkSession) -> str:
     that names none (a test) gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shoplens-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+#: Rows and bytes of texts that a Python worker takes at once.
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what travels to Python at once, in rows and in bytes: Spark's
+    10,000 rows of long texts would fill a worker. A session that sets its
+    own number of rows keeps both its settings."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 class Run:
     """Staged tables of one operator call, in one folder of the shared
     directory. A table is written once and reread, so that a lost executor
@@ -48,6 +63,7 @@ class Run:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        bound_batches(spark)
         self.dir = f"{shared_dir(spark)}/shoplens/{name}-{uuid.uuid4().hex}"
         self._path(self.dir)[1].deleteOnExit(self._path(self.dir)[0])
 

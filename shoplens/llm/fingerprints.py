@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import bound_batches, col
 
 #: One in so many hashes is kept.
 SCALE = 16
@@ -72,6 +72,8 @@ def fingerprint(docs: DataFrame, shingle: int = 5, scale: int = SCALE, out: str
                 text_col: str = "text") -> DataFrame:
     """``docs`` with the sketch of each whole text as hex digits in ``out``
     (null, empty or wordless text: the empty string)."""
+    bound_batches(docs.sparkSession)
+
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([to_text(sketch(t, shingle, scale)) for t in texts], dtype=object)
@@ -134,6 +136,7 @@ def compare_with_next(docs: DataFrame, shingle: int = 5, scale: int = SCALE, ran
     (or have none) follow each other by their text's hash. A single document is its
     own next one. Extra columns are ignored; an empty table gives no rows."""
     spark = docs.sparkSession
+    bound_batches(spark)
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(col(id_col).isNull().alias("unnamed"), F.coalesce(col(id_col).cast("long"), F.lit(0)).alias("number"),
                     F.coalesce(col(text_col), F.lit("")).alias("text"))

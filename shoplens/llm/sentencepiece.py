@@ -12,7 +12,7 @@ call per Arrow batch. Decoding is the library's decode(ids).
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from math import inf
 from operator import add
