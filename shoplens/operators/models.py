@@ -90,9 +90,9 @@ def word_weights(reviews: DataFrame, *, key: str, fractions: Mapping[int, float]
     tokens = PipelineModel(stages=token_stages(text_col, stop_words)).transform(train)
     words = tokens.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("doc_freq"))
-    texts = train.agg(F.count(F.lit(1)).alias("texts"))  # one row
-    weight = F.round(F.log((F.col("texts") + 1) / (F.col("doc_freq") + 1)), 6)
-    return words.join(F.broadcast(texts)).select(
+    texts = train.agg(F.count(F.lit(1)).alias("texts")).scalar()
+    weight = F.round(F.log((texts + 1) / (F.col("doc_freq") + 1)), 6)
+    return words.select(
         "word", "doc_freq", F.when(F.col("doc_freq") >= min_doc_freq, weight).otherwise(0.0).alias("weight"))
 
 

@@ -3,6 +3,7 @@ of intermediate tables in the cluster's checkpoint folder."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,9 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``. Only
     a local session that names none gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d and spark.sparkContext.master.startswith("local["):
+    if not d and re.match(r"local(\[|$)", spark.sparkContext.master):
         d = tempfile.mkdtemp(prefix="shoplens-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on the "
                            "cluster's object store) so staged tables survive executor loss")
