@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import Run, col, n_words
 
 #: Bits of a document's hash, and bits that each histogram resolves.
-HASH_BITS, STEP_BITS = 60, 15
+HASH_BITS, STEP_BITS = 60, 10
 
 
 def _source_order() -> list[Column]:
