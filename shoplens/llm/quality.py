@@ -10,7 +10,6 @@ path length at which a document is rejected comes from labelled rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -137,10 +136,12 @@ def calibrate(scores: np.ndarray, good: np.ndarray, lose: float) -> float:
 
 
 def sample_rows(rows: DataFrame, about: int, *key: str) -> DataFrame:
-    """About ``about`` rows, those whose key's hash is under a threshold."""
+    """About ``about`` rows, those whose key's hash is under a threshold;
+    rows that repeat a key count once, so that copies cannot crowd in."""
     n = rows.count()
     spread = 1 << 40
-    return rows.filter(F.pmod(F.xxhash64(*key), F.lit(spread)) < int(min(1.0, about / max(1, n)) * spread))
+    chosen = rows.filter(F.pmod(F.xxhash64(*key), F.lit(spread)) < int(min(1.0, about / max(1, n)) * spread))
+    return chosen.dropDuplicates(list(key))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, lose: float = 0.01, sample: int = 20_000, n_trees: int = 100,
@@ -169,12 +170,12 @@ def quality_filter(docs: DataFrame, labels: DataFrame, lose: float = 0.01, sampl
                   "statistics")
     passed = s.filter("n_words >= 10 and 100 * n_repeat_words <= 20 * n_words")
     columns = [c for c in s.columns if c != "doc_id"]
-    grown = sample_rows(passed, sample, "doc_id", *columns).select(*columns).orderBy(*columns).toPandas()
+    grown = sample_rows(passed, sample, "doc_id", *columns).select(*columns).toPandas().sort_values(columns)
     mean = float(grown["word_chars"].sum() / max(1, grown["n_words"].sum()))
     forest = IsolationForest(size, mean).grow(features(grown, mean), n_trees)
     known = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("label")).filter("label is not null")
-    known = run.stage(passed.join(known, "doc_id").select("label", *columns), "labelled")
-    known = sample_rows(known, sample, "label", *columns).toPandas()
+    known = run.stage(passed.join(known, "doc_id").select("doc_id", "label", *columns), "labelled")
+    known = sample_rows(known, sample, "doc_id", "label", *columns).toPandas()
     if forest.trees:
         forest.limit = calibrate(forest.score(features(known, mean)), (known["label"] == 1).to_numpy(), lose)
 
