@@ -59,8 +59,8 @@ def dictionary(docs: DataFrame, share: float = 0.001, text_col: str = "text") ->
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(col(text_col)), "[^a-z]+"))).alias("word")).filter(
         F.length("word").between(2, 12))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    total = docs.agg((F.count(col(text_col)) * F.lit(share)).alias("least"))
-    common = counted.join(F.broadcast(total), F.col("texts") >= F.col("least"))
+    least = docs.agg((F.count(col(text_col)) * F.lit(share)).alias("least")).scalar()
+    common = counted.filter(F.col("texts") >= least)
     return (common.select(F.explode(_pieces(F.col("word"))).alias("piece")).filter(F.length("piece") == 3).distinct())
 
 
