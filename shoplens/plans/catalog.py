@@ -108,15 +108,17 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_results(spark: SparkSession, sf: str) -> DataFrame:
-    """A result stored twice under its label, another beside it, and
-    the rows of the first read back by label and equality."""
+    """A result stored twice under its label, another beside it; the
+    first read back by its label, the second by label and equality."""
     store = f"{run_dir(spark, uuid.uuid4().hex)}/store"
     patterns = B.hourly_patterns(clean_events(spark, sf))
     write_results(patterns, store, "hourly_patterns")
     write_results(patterns, store, "hourly_patterns")
     write_results(B.event_distribution(clean_events(spark, sf)), store, "event_distribution")
-    return read_results(spark, store, "hourly_patterns").unionByName(
-        read_results(spark, store, "event_distribution", event_type="purchase"), allowMissingColumns=True)
+    hours = read_results(spark, store, "hourly_patterns").select(
+        "analysis", F.col("event_hour").cast("string").alias("key"), F.col("purchase_count").alias("events"))
+    return hours.unionByName(read_results(spark, store, "event_distribution", event_type="purchase").select(
+        "analysis", F.col("event_type").alias("key"), F.col("event_count").alias("events")))
 
 
 def exported_csv(spark: SparkSession, sf: str) -> DataFrame:

@@ -188,12 +188,10 @@ def _rq1() -> dict[str, str]:
                    price, user_id, user_session
             FROM shop_events"""),
         "stored_results": q(*EV, HOURLY, body="""
-            SELECT 'hourly_patterns' AS analysis, *, NULL::VARCHAR AS event_type, NULL::BIGINT AS event_count,
-                   NULL::BIGINT AS unique_users FROM hourly
-            UNION ALL BY NAME
-            SELECT 'event_distribution' AS analysis, event_type, count(*) AS event_count,
-                   count(DISTINCT user_id) AS unique_users
-            FROM clean_events WHERE event_type = 'purchase' GROUP BY event_type"""),
+            SELECT 'hourly_patterns' AS analysis, CAST(event_hour AS VARCHAR) AS key, purchase_count AS events FROM hourly
+            UNION ALL
+            SELECT 'event_distribution', event_type, count(*) FROM clean_events
+            WHERE event_type = 'purchase' GROUP BY event_type"""),
         "category_profile": q(SHOP_EVENTS_SQL, PREPARED, body=f"""
             SELECT category_top, count(*) AS event_count,
                    {pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct
