@@ -28,7 +28,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     if checkpoint_dir:
         b = b.config("spark.checkpoint.dir", checkpoint_dir)
     if event_log_dir:
-        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+        b = (b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+             .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
