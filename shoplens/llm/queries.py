@@ -79,7 +79,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-word shingles, one hash in 16."""
+    """Five-word shingles, one hash in 2."""
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 

@@ -82,3 +82,14 @@ def test_sketches_merge_and_estimate_containment():
     tiny, other = L.sketch("one two"), L.sketch("three")
     assert len(tiny) == 1 and len(L.merge(tiny, other)) >= 1
     assert L.likeness(L.sketch(""), L.sketch(None)) == 1.0 and L.likeness(L.sketch(""), tiny) == 0.0
+
+
+def test_likeness_of_short_texts_is_near_the_exact_containment():
+    d = cases.table("/root/testdata/sf0.01", "documents").sort_values("doc_id")["text"].tolist()
+    whole = lambda t: {" ".join(t.split()[i:i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    errors = []
+    for text, following in zip(d, d[1:]):
+        if 50 <= len(text.split()) <= 100:
+            edited = L.edited_text(text, following)
+            errors.append(abs(L.likeness(L.sketch(text), L.sketch(edited)) - plain_likeness(whole(text), whole(edited))))
+    assert len(errors) > 50 and np.quantile(errors, 0.95) < 0.2 and max(errors) < 0.4
