@@ -4,7 +4,7 @@ Each text is reduced to the statistics of simple rules (words, characters,
 symbols, repeated lines and words). Two base rules reject outright; among the
 rest an isolation forest, grown over random splits of a bounded sample, finds
 documents that few splits set apart from all others: their path is short. The
-path length at which a document is rejected comes from labelled rows.
+path length at which a document is rejected comes from all labelled rows.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ class IsolationForest:
     right one follows it), path length at a leaf."""
 
     size: int = 128
-    word_length: float = 0.0  # mean of the rows it grew on
+    word_length: float = 0.0  # mean of all rows that the base rules pass
     trees: list[tuple[np.ndarray, ...]] = field(default_factory=list)
     limit: float = 1.0  # scores above it are rejected
 
@@ -135,6 +135,26 @@ def calibrate(scores: np.ndarray, good: np.ndarray, lose: float) -> float:
     return float(np.quantile(scores[good], 1 - lose, method="higher")) if good.any() else 1.0
 
 
+def limit_of(scores: DataFrame, lose: float, accuracy: int = 10_000) -> float:
+    """``calibrate`` over all rows of ``scores`` (score double: that of a good
+    row), exactly: approximate percentiles, whose rank is off by one in
+    ``accuracy`` at most, bound the limit from both sides; only the distinct
+    scores between them, a few in ``accuracy``, come to the driver."""
+    n = scores.count()
+    if not n:
+        return 1.0
+    rank = math.ceil((1 - lose) * (n - 1))  # from 0
+    at = (rank + 1) / n
+    low, high = scores.agg(F.percentile_approx("score", [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)],
+                                               accuracy)).first()[0]
+    below = scores.filter(F.col("score") < low).count()
+    for r in scores.filter(F.col("score").between(low, high)).groupBy("score").count().orderBy("score").collect():
+        below += r["count"]
+        if below > rank:
+            return float(r["score"])
+    raise AssertionError("the limit is not between its bounds")
+
+
 def sample_rows(rows: DataFrame, about: int, *key: str) -> DataFrame:
     """About ``about`` rows, those whose key's hash is under a threshold;
     rows that repeat a key count once, so that copies cannot crowd in."""
@@ -151,13 +171,15 @@ def quality_filter(docs: DataFrame, labels: DataFrame, lose: float = 0.01, sampl
     base_failed, anomaly (the forest's score) and kept.
 
     The forest grows on about ``sample`` documents that the base rules pass
-    (chosen by hash; the bound is that parameter); the limit is set on about
-    as many labelled ones, so that it rejects at most ``lose`` of those
-    labelled 1. All statistics are of whole texts of all rows.
+    (chosen by hash, labelled or not; the bound is that parameter). The mean
+    word length is of all documents that the base rules pass, and the limit is
+    set on all labelled ones of these, so that it rejects at most ``lose`` of
+    those labelled 1. All statistics are of whole texts of all rows.
 
     Null and empty texts have no words and fail. Without usable rows to learn
     from, only the base rules reject. Labels that are null or name no document
-    are not used; several labels of one id all count. Equal texts get
+    are not used; several labels of one id all count, but equal labelled rows
+    count once. Equal texts get
     equal results. Extra columns are ignored; an empty table gives no rows."""
     run = Run(docs.sparkSession, "quality")
 
@@ -171,13 +193,17 @@ def quality_filter(docs: DataFrame, labels: DataFrame, lose: float = 0.01, sampl
     passed = s.filter("n_words >= 10 and 100 * n_repeat_words <= 20 * n_words")
     columns = [c for c in s.columns if c != "doc_id"]
     grown = sample_rows(passed, sample, "doc_id", *columns).select(*columns).toPandas().sort_values(columns)
-    mean = float(grown["word_chars"].sum() / max(1, grown["n_words"].sum()))
+    total = passed.agg(F.sum("word_chars").alias("chars"), F.sum("n_words").alias("words")).first()
+    mean = float((total["chars"] or 0) / max(1, total["words"] or 0))
     forest = IsolationForest(size, mean).grow(features(grown, mean), n_trees)
-    known = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("label")).filter("label is not null")
-    known = run.stage(passed.join(known, "doc_id").select("doc_id", "label", *columns), "labelled")
-    known = sample_rows(known, sample, "doc_id", "label", *columns).toPandas()
     if forest.trees:
-        forest.limit = calibrate(forest.score(features(known, mean)), (known["label"] == 1).to_numpy(), lose)
+        @F.pandas_udf("double")
+        def score(*columns_of: pd.Series) -> pd.Series:
+            return pd.Series(forest.score(features(pd.concat(columns_of, axis=1, keys=columns), mean)))
+
+        known = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("label")).filter("label = 1")
+        known = passed.join(known, "doc_id").select("doc_id", *columns).distinct()
+        forest.limit = limit_of(run.stage(known.select(score(*columns).alias("score")), "scores"), lose)
 
     @F.pandas_udf("base_failed boolean, anomaly double, kept boolean")
     def judge(*columns_of: pd.Series) -> pd.DataFrame:

@@ -82,3 +82,25 @@ def test_calibration_loses_few_good_rows():
     assert (scores > L.calibrate(scores, good, 0.01)).mean() <= 0.01
     assert L.calibrate(scores, ~good, 0.01) == 1.0
     assert L.base_failed(pd.DataFrame({"n_words": [9, 10, 10], "n_repeat_words": [0, 2, 3]})).tolist() == [True, False, True]
+
+
+def test_the_sample_bounds_the_trees_alone(spark, monkeypatch):
+    means, features = [], L.features
+    monkeypatch.setattr(L, "features", lambda s, mean: means.append(mean) or features(s, mean))
+    d, labels = cases.table(SF, "documents"), cases.table(SF, "labels")
+    t = L.quality_filter(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"),
+                         sample=60, n_trees=20, size=32).toPandas()
+    fine = t[~t["base_failed"]]
+    assert np.isclose(means[0], fine["word_chars"].sum() / fine["n_words"].sum(), rtol=1e-12)
+    good = fine.merge(labels[labels["quality"] == 1], on="doc_id")["anomaly"].to_numpy()
+    limit = np.quantile(good, 0.99, method="higher")
+    assert len(d) == len(t) and len(good) > 200 and (t["kept"] == ~t["base_failed"] & (t["anomaly"] <= limit)).all()
+
+
+def test_limit_is_the_exact_order_statistic(spark):
+    rng = np.random.default_rng(7)
+    for n, lose in ((1, 0.01), (2, 0.5), (999, 0.01), (30_000, 0.01), (30_000, 0.0)):
+        scores = np.round(rng.random(n), 3 if n == 999 else 12)
+        got = L.limit_of(spark.createDataFrame(pd.DataFrame({"score": scores})), lose, 100)
+        assert got == np.quantile(scores, 1 - lose, method="higher") == L.calibrate(scores, scores >= 0, lose)
+    assert L.limit_of(spark.createDataFrame([], "score double"), 0.01) == 1.0
