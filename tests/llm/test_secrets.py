@@ -78,3 +78,28 @@ def test_edges(spark):
     only = L.scan_secrets(cases.documents(spark, [(60, f'key = "{k}"', None, None, 0)])).collect()
     assert [(r["probability"], r["secret"]) for r in only] == [(None, True)]
     assert L.scan_secrets(cases.documents(spark, [])).count() == 0
+
+
+def test_label_evidence_is_no_input_and_other_forms_are_found(spark):
+    assert not set(L.FEATURES) & {"assigned", "credential_name", "quoted", "coverage", "covered", "lettered"}
+    rng = random.Random(11)
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    hexes, mixed = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    bearer, env, bare = pick(mixed, 40), pick(mixed, 32), "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)
+    rows = [(i, f'the token = "{pick(hexes, 40)}" of this', None, None, 0) for i in range(20)]
+    rows += [(100 + i, f"nationalorganizations and thedepartmentofthings {x} {y} in the text", None, None, 0)
+             for i, (x, y) in enumerate([("national", "nations"), ("thedepartment"[:12], "mentofthings"), ("ionalorganiz", "izations")] * 7)]
+    rows += [(200, f"Authorization: Bearer {bearer}", None, None, 0), (201, f"DB_SECRET={env}\nMODE=fast", None, None, 0),
+             (202, 'password = "S3cr3t!Passw0rd"', None, None, 0), (203, f"we used {bare} for that.", None, None, 0),
+             (204, "password: t0p.S3cr~t9! is it", None, None, 0)]
+    got = {(r["doc_id"], r["candidate"]): r["secret"] for r in L.scan_secrets(cases.documents(spark, rows)).collect()}
+    for key in ((200, bearer), (201, env), (202, "S3cr3t!Passw0rd"), (203, bare), (204, "t0p.S3cr~t9")):
+        assert got.get(key), (key, got.get(key))
+    assert all(v for (i, _), v in got.items() if i < 20)
+    assert not any(v for (i, _), v in got.items() if 100 <= i < 200) and any(100 <= i < 200 for i, _ in got)
+
+
+def test_random_bare_runs_are_never_labelled_as_none(spark):
+    found = L.candidates(cases.documents(spark, [(1, "Bearer q8Zr2LmX0vTj5KcW9bNs and Xk29fPq0LzT7vBn4RwYc", None, None, 0)]))
+    pieces = spark.createDataFrame([("the",)], "piece string")
+    assert [r["secret"] for r in L.weak_labels(L.with_features(found, pieces)).collect()] == [None, None]
