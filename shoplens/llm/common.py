@@ -1,13 +1,15 @@
 """Helpers shared by the operators: quoted columns, the word expression,
-staged tables in the cluster's shared folder, and connected components."""
+staged tables in the cluster's shared folder, ranks without a window over all
+rows, and connected components."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
@@ -112,3 +114,31 @@ def connected_components(edges: DataFrame, run: Run, rounds: int = 60) -> DataFr
         run.drop(f"cc-{k - 1}", f"cc-large-{k}")
         now = nxt
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], run: Run, name: str) -> DataFrame:
+    """``df`` (a staged table) with ``rank``, the row's number from 0 within
+    its ``group`` (null is a group of its own) in ``order``, and ``size``,
+    the rows of the group.
+
+    No group meets in one task: rows are dealt by ranges of (group, order),
+    numbered within their partition, and a table of one row per partition and
+    group says where each partition's rows begin. Rows that tie in ``order``
+    share a partition, so the order should end in what tells rows apart."""
+    if "_at" in df.columns or "_part" in df.columns:
+        raise ValueError("columns _at and _part are ranked()'s own")
+    keys = [col(g).asc_nulls_first() for g in group] + list(order)
+    at = run.stage(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                   .withColumn("_at", F.monotonically_increasing_id())
+                   .withColumn("_part", F.shiftright("_at", 33).cast("int")), f"{name}-dealt")
+    starts = at.groupBy(*[col(g) for g in group], "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("lo"))
+    within = Window.partitionBy(*[col(g) for g in group])
+    before = within.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = run.stage(starts.select(
+        *[col(g).alias(f"_{k}") for k, g in enumerate(group)], F.col("_part").alias("_p"),
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("lo")).alias("_move"),
+        F.sum("n").over(within).alias("size")), f"{name}-starts")
+    on = F.col("_part") == F.col("_p")
+    for k, g in enumerate(group):
+        on = on & col(g).eqNullSafe(F.col(f"_{k}"))
+    return at.join(starts, on).select(*[col(c) for c in df.columns], (F.col("_at") + F.col("_move")).alias("rank"), "size")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, licenses, linededup, mixing, quality, secrets, sentencepiece, simhash, warc
+from . import fingerprints, langid, licenses, linededup, merkle, mixing, quality, secrets, sentencepiece, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,16 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 8 per language, then over the languages; a third of the
+    documents is presented with its text lower-cased."""
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    shown = F.when(third, merkle.ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang",
+                           presented={"text": shown})
+    return merkle.verify(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 #: Base 32 of a SHA-1: eight groups of five hex digits, four letters each.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   cast((cast('0x' || substr({hex}, cast(5 * (i // 4) + 1 as int), 5) as bigint) >> cast(5 * (3 - i % 4) as int)) & 31 as int) + 1, 1) for i in range(0, 32)], '')"""
@@ -99,7 +109,7 @@ from q"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_mix_sources, op3_license_scan, op4_sentencepiece, op5_simhash, op6_quality_rules, op7_warc,
-        op8_line_dedup, op9_secret_scan, op10_fingerprints)}
+        op8_line_dedup, op9_secret_scan, op10_fingerprints, op11_merkle_manifest)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.MIX_SQL.format(docs="documents"),
