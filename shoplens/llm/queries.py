@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, licenses, linededup, merkle, mixing, quality, secrets, sentencepiece, simhash, warc
+from . import fingerprints, langid, licenses, linededup, merkle, mixing, quality, resampling, secrets, sentencepiece, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single words in 10,000 buckets; 10 % of the documents of 20 words or more."""
+    return (resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10,
+                                least_words=20, grams=1, buckets=10_000, seed="2024")
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
 #: Base 32 of a SHA-1: eight groups of five hex digits, four letters each.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   cast((cast('0x' || substr({hex}, cast(5 * (i // 4) + 1 as int), 5) as bigint) >> cast(5 * (3 - i % 4) as int)) & 31 as int) + 1, 1) for i in range(0, 32)], '')"""
@@ -109,7 +116,8 @@ from q"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_mix_sources, op3_license_scan, op4_sentencepiece, op5_simhash, op6_quality_rules, op7_warc,
-        op8_line_dedup, op9_secret_scan, op10_fingerprints, op11_merkle_manifest)}
+        op8_line_dedup, op9_secret_scan, op10_fingerprints, op11_merkle_manifest,
+        op13_importance_resampling)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.MIX_SQL.format(docs="documents"),
