@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, licenses, linededup, merkle, mixing, quality, resampling, secrets, sentencepiece, simhash, warc
+from . import ctw, fingerprints, langid, licenses, linededup, merkle, mixing, quality, resampling, secrets, sentencepiece, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows whose crc32(doc_id) mod 5 is not 1, scores all."""
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return (ctw.score_texts(table(spark, sf_dir, "documents"), held)
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single words in 10,000 buckets; 10 % of the documents of 20 words or more."""
     return (resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10,
@@ -117,7 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_mix_sources, op3_license_scan, op4_sentencepiece, op5_simhash, op6_quality_rules, op7_warc,
         op8_line_dedup, op9_secret_scan, op10_fingerprints, op11_merkle_manifest,
-        op13_importance_resampling)}
+        op12_lm_scoring, op13_importance_resampling)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.MIX_SQL.format(docs="documents"),

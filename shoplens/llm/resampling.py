@@ -42,7 +42,7 @@ def feature_buckets(text: str | None, splitter, breaks, grams: int, buckets: int
     text is read in pieces that end between words; the last ``grams - 1``
     words of a piece stand before the next one."""
     if not text:
-        return 0, np.empty(0, np.int64)
+        return 0, np.empty(0, np.uint32)
     # Lower-casing bytes changes A-Z alone.
     text = text.encode().lower().decode()
     n, out, before, at = 0, [], [], 0
@@ -58,9 +58,9 @@ def feature_buckets(text: str | None, splitter, breaks, grams: int, buckets: int
             first = max(0, len(before) - size + 1)
             runs = words[first:] if size == 1 else (
                 " ".join(words[k:k + size]) for k in range(first, len(words) - size + 1))
-            out.extend(zlib.crc32(r.encode()) % buckets for r in runs)
+            out.append(np.fromiter((zlib.crc32(r.encode()) % buckets for r in runs), np.uint32))
         before = words[len(words) - grams + 1:] if grams > 1 else []
-    return n, np.array(out, np.int64)
+    return n, np.concatenate(out)
 
 
 def features(docs: DataFrame, text_col: str, grams: int, buckets: int) -> Column:
