@@ -9,7 +9,6 @@ fixture's shape are named here and documented in FIXTURES.md.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from ..operators import sampling as S
 from ..operators import sentiment as R
 from ..operators import weather as W
 from ..schemas import REVIEWS, SHOP_EVENTS, WEATHER
-from ..session import run_dir, stage_table
+from ..session import scratch_dir, stage_table
 from ..sinks import write_csv, write_results
 from ..sources import fixtures as X
 from ..sources import weather as SW
@@ -108,13 +107,17 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_results(spark: SparkSession, sf: str) -> DataFrame:
-    """A result stored twice under its label, another beside it; the
-    first read back by its label, the second by label and equality."""
-    store = f"{run_dir(spark, uuid.uuid4().hex)}/store"
+    """One result stored twice and then rewritten from its own rows;
+    another stored in two parts, the second appended. The first is read back
+    by its label, the second by label and equality."""
+    store = f"{scratch_dir(spark)}/store"
     patterns = B.hourly_patterns(clean_events(spark, sf))
     write_results(patterns, store, "hourly_patterns")
     write_results(patterns, store, "hourly_patterns")
-    write_results(B.event_distribution(clean_events(spark, sf)), store, "event_distribution")
+    write_results(read_results(spark, store, "hourly_patterns"), store, "hourly_patterns")
+    events = clean_events(spark, sf)
+    for part in (F.col("event_type") != "view", F.col("event_type") == "view"):
+        write_results(B.event_distribution(events.filter(part)), store, "event_distribution", append=True)
     hours = read_results(spark, store, "hourly_patterns").select(
         "analysis", F.col("event_hour").cast("string").alias("key"), F.col("purchase_count").alias("events"))
     return hours.unionByName(read_results(spark, store, "event_distribution", event_type="purchase").select(
@@ -123,7 +126,7 @@ def stored_results(spark: SparkSession, sf: str) -> DataFrame:
 
 def exported_csv(spark: SparkSession, sf: str) -> DataFrame:
     """K1, S1–S3's reader: a result exported as CSV and read by its header."""
-    path = f"{run_dir(spark, uuid.uuid4().hex)}/daily_trend"
+    path = f"{scratch_dir(spark)}/daily_trend"
     trend = B.daily_trend(clean_events(spark, sf))
     write_csv(trend, path)
     other_order = T.StructType(sorted(trend.schema.fields, key=lambda f: f.name))

@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   checkpoint_dir: str | None = None, app: str = "shoplens",
@@ -72,10 +74,16 @@ def run_dir(spark: SparkSession, run_id: str) -> str:
     return f"{checkpoint_dir(spark)}/shoplens/{run_id}"
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder beside the runs' that goes when the driver's JVM ends."""
+    path = run_dir(spark, uuid.uuid4().hex)
+    storage.delete_at_exit(spark, path)
+    return path
+
+
 def remove_run(spark: SparkSession, run_id: str) -> None:
     """Remove all staged tables of a run, once its results are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark, run_id))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    storage.delete(spark, run_dir(spark, run_id))
 
 
 def stage_table(df: DataFrame, name: str, run_id: str | None = None,

@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 
+from .store import CommitConflict, remove_old_versions, result_path, versions, write_results
+
+__all__ = ["CommitConflict", "remove_old_versions", "result_path", "versions", "write_csv", "write_results"]
+
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """K1: overwrite a CSV folder with a header. ``single_file`` funnels the
     result through one task — only for small, final tables."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
-
-
-def result_path(store: str, label: str) -> str:
-    """Folder of one label; a label is a plain name, never a path."""
-    if not re.fullmatch(r"[\w.-]+", label):
-        raise ValueError(f"not a result label: {label!r}")
-    return f"{store.rstrip('/')}/analysis={label}"
-
-
-def write_results(df: DataFrame, store: str, label: str) -> None:
-    """K2: store all rows under ``analysis=label``. A re-run replaces exactly
-    that label's rows, also when the new result is empty."""
-    df.drop("analysis").write.mode("overwrite").parquet(result_path(store, label))

@@ -3,13 +3,12 @@ data) for CSV, JSON Lines or Parquet inputs, and the result-store reader."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import REVIEWS, SHOP_EVENTS, WEATHER
-from ..sinks import result_path
+from ..sinks.store import read_paths
 
 
 def _by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -69,18 +68,18 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, line_col: str = "li
     return lines.select(F.from_json(F.col(line_col), schema).alias("r")).select("r.*")
 
 
-def read_results(spark: SparkSession, store: str, analysis: str | None = None, **equals) -> DataFrame:
+def read_results(spark: SparkSession, store: str, analysis: str | None = None, version: int | None = None,
+                 **equals) -> DataFrame:
     """Rows stored under one analysis label, with its ``analysis`` column;
-    only that label's files are listed and read. ``equals`` keeps rows whose
-    columns have the given values. A label that was never stored gives an
-    empty frame. Without a label: all rows of the store, by column name."""
-    path = store if analysis is None else result_path(store, analysis)
-    reader = spark.read.option("basePath", store)
-    try:
-        df = (reader.option("mergeSchema", True) if analysis is None else reader).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    only the files of its last committed version (or of ``version``) are
+    listed and read. ``equals`` keeps rows whose columns have the given
+    values. A label that was never stored gives an empty frame. Without a
+    label: all rows of the store, by column name."""
+    paths = read_paths(spark, store, analysis, version)
+    if paths:
+        # Parts added later may have other columns.
+        df = spark.read.option("basePath", store).option("mergeSchema", len(paths) > 1).parquet(*paths)
+    else:
         df = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in ["analysis", *equals]]))
     for column, value in equals.items():
         df = df.filter(F.col(column) == value)
