@@ -4,6 +4,7 @@
   python -m shoplens behaviour --events 'DIR/2019-*.csv' --store DIR [--csv-dir DIR]
   python -m shoplens sentiment --reviews FILE.jsonl --store DIR [--csv-dir DIR]
   python -m shoplens weather --events GLOB --weather DIR --store DIR [--csv-dir DIR]
+  (--run-id NAME: start a job that died again, without the steps it had finished)
   python -m shoplens ingest-events --source DIR --target DIR --checkpoint DIR
 
 The session comes from spark-submit (master, memory, ``spark.checkpoint.dir``
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument(f"--{i}", required=True)
         p.add_argument("--store")
         p.add_argument("--csv-dir")
+        p.add_argument("--run-id", help="name of the run; a job that died goes on from the steps it had finished")
         p.add_argument("--format", default=None, help="input format of events/reviews (csv, json, parquet)")
     p = sub.add_parser("ingest-events")
     p.add_argument("--source", required=True)
@@ -55,12 +57,13 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "weather-ingest":
         jobs.weather_ingest_job(spark, a.payloads, a.out, fmt=a.format)
     elif a.cmd == "behaviour":
-        jobs.behaviour_job(spark, a.events, fmt=a.format or "csv", store=a.store, csv_dir=a.csv_dir)
+        jobs.behaviour_job(spark, a.events, fmt=a.format or "csv", store=a.store, csv_dir=a.csv_dir, run_id=a.run_id)
     elif a.cmd == "sentiment":
-        jobs.sentiment_job(spark, a.reviews, fmt=a.format or "json", store=a.store, csv_dir=a.csv_dir)
+        jobs.sentiment_job(spark, a.reviews, fmt=a.format or "json", store=a.store, csv_dir=a.csv_dir,
+                           run_id=a.run_id)
     elif a.cmd == "weather":
         jobs.weather_job(spark, a.events, a.weather, events_fmt=a.format or "csv", store=a.store,
-                         csv_dir=a.csv_dir)
+                         csv_dir=a.csv_dir, run_id=a.run_id)
     elif a.cmd == "ingest-events":
         from .streaming import ingest_events
 

@@ -23,9 +23,10 @@ from ..operators import sampling as S
 from ..operators import sentiment as R
 from ..operators import weather as W
 from ..schemas import REVIEWS, SHOP_EVENTS, WEATHER
-from ..session import scratch_dir, stage_table
+from ..session import Ledger, scratch_dir, stage_table
 from ..sinks import write_csv, write_results
 from ..sources import fixtures as X
+from ..sources import rejects as J
 from ..sources import weather as SW
 from ..sources.files import parse_csv_lines, parse_json_lines, read_csv, read_results
 
@@ -133,6 +134,25 @@ def exported_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, other_order)
 
 
+def judged_events(spark: SparkSession, sf: str) -> DataFrame:
+    return J.judge_events(J.csv_line_fields(X.faulty_event_lines(spark, sf), SHOP_EVENTS), strict=True)
+
+
+def judged_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return J.judge_reviews(J.json_line_fields(X.faulty_review_lines(spark, sf), REVIEWS))
+
+
+def rejected_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of one written split, each with its reason, all its problems
+    and what identifies it (the brand of the fixture; of a malformed line,
+    the line)."""
+    scratch = Ledger(spark, scratch_dir(spark).rsplit("/", 1)[1])
+    rejected = J.split_rows(judged_events(spark, sf), "judged_events", scratch).rejected
+    malformed = F.col("reason") == J.MALFORMED
+    return rejected.select("reason", F.array_join("problems", ",").alias("problems"),
+                           F.when(malformed, F.col("line")).otherwise(F.col("brand")).alias("source"))
+
+
 def payload_with_cities(spark: SparkSession, sf: str) -> DataFrame:
     """Payloads to rows, with the city's coordinates."""
     rows = SW.flatten_weather_payload(X.weather_payloads(X.weather(spark, sf)))
@@ -163,6 +183,8 @@ def _rq1() -> dict[str, Query]:
         "category_profile": lambda s, d: B.category_profile(prepared_events(s, d)),
         "row_counts": row_counts,
         "event_lines": lambda s, d: parse_csv_lines(X.event_lines(s, d), SHOP_EVENTS),
+        "event_outcomes": lambda s, d: J.account(judged_events(s, d)),
+        "rejected_events": rejected_events,
         "stored_results": stored_results,
         "exported_csv": exported_csv,
     }
@@ -184,6 +206,7 @@ def _rq2() -> dict[str, Query]:
         "train_test_split": lambda s, d: S.with_split(
             clean_reviews(s, d), "doc_id").select("doc_id", "sentiment_label", "split"),
         "review_lines": lambda s, d: parse_json_lines(X.review_lines(s, d), REVIEWS),
+        "review_outcomes": lambda s, d: J.account(judged_reviews(s, d)),
         "classifier_split": lambda s, d: M.sample_split(
             clean_reviews(s, d), key="doc_id", fractions=FIXTURE_SAMPLE).select("doc_id", "sentiment_label", "split"),
         "classifier_word_weights": lambda s, d: M.word_weights(

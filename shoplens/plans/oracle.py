@@ -15,7 +15,15 @@ from ..functions.columns import hash_threshold
 from ..operators.models import COEFFICIENT_NAMES, REGRESSION_FEATURES
 from ..operators.weather import CORRELATION_COLUMNS
 from ..settings import DEFAULT, ENGLISH_STOP_WORDS
-from ..sources.fixtures import CITIES_SQL, ORDER_PURCHASES_SQL, REVIEWS_SQL, SHOP_EVENTS_SQL, WEATHER_SQL
+from ..sources.fixtures import (
+    CITIES_SQL,
+    EVENT_FAULTS,
+    ORDER_PURCHASES_SQL,
+    REVIEW_FAULTS,
+    REVIEWS_SQL,
+    SHOP_EVENTS_SQL,
+    WEATHER_SQL,
+)
 from .catalog import FIXTURE_MAX_EVENTS, FIXTURE_SAMPLE
 
 MONEY = "DECIMAL(28,8)"
@@ -116,6 +124,21 @@ weekday AS (
   FROM clean_events WHERE event_type = 'purchase' GROUP BY event_weekday
 )"""
 
+JUDGED_EVENTS = f"""
+judged_events AS (
+  SELECT CASE WHEN event_id % {EVENT_FAULTS["cut"]} = 0 THEN 'malformed' ELSE problems[1] END AS reason,
+         CASE WHEN event_id % {EVENT_FAULTS["cut"]} = 0 THEN 'malformed,unparsable:event_time,missing:product_id'
+              ELSE array_to_string(problems, ',') END AS problems,
+         CASE WHEN event_id % {EVENT_FAULTS["cut"]} = 0 THEN 'cut off,' ELSE '' END || CAST(event_id AS VARCHAR) AS source
+  FROM (SELECT event_id, list_filter([
+          CASE WHEN event_id % {EVENT_FAULTS["time"]} = 0 THEN 'unparsable:event_time'
+               WHEN event_time IS NULL THEN 'missing:event_time' END,
+          CASE WHEN event_id % {EVENT_FAULTS["type"]} = 0 OR event_type IS NULL THEN 'missing:event_type' END,
+          CASE WHEN product_id IS NULL THEN 'missing:product_id' END,
+          CASE WHEN event_id % {EVENT_FAULTS["price"]} = 0 THEN 'unparsable:price' END],
+          lambda x: x IS NOT NULL) AS problems FROM shop_events)
+)"""
+
 CHART_ORDER = ("CASE weekday_name WHEN 'Monday' THEN 1 WHEN 'Tuesday' THEN 2 WHEN 'Wednesday' THEN 3 "
                "WHEN 'Thursday' THEN 4 WHEN 'Friday' THEN 5 WHEN 'Saturday' THEN 6 WHEN 'Sunday' THEN 7 END")
 
@@ -187,6 +210,9 @@ def _rq1() -> dict[str, str]:
                    product_id * 10 AS category_id, category_code, split_part(category_code, '.', -1) AS brand,
                    price, user_id, user_session
             FROM shop_events"""),
+        "event_outcomes": q(SHOP_EVENTS_SQL, JUDGED_EVENTS, body="""
+            SELECT coalesce(reason, 'kept') AS outcome, count(*) AS row_count FROM judged_events GROUP BY 1"""),
+        "rejected_events": q(SHOP_EVENTS_SQL, JUDGED_EVENTS, body="SELECT * FROM judged_events WHERE reason IS NOT NULL"),
         "stored_results": q(*EV, HOURLY, body="""
             SELECT 'hourly_patterns' AS analysis, CAST(event_hour AS VARCHAR) AS key, purchase_count AS events FROM hourly
             UNION ALL
@@ -238,6 +264,16 @@ def _rq2() -> dict[str, str]:
                        for v, f in FIXTURE_SAMPLE.items())
     return {
         "clean_reviews": q(*RV, body="SELECT * FROM clean_reviews"),
+        "review_outcomes": q(REVIEWS_SQL, body=f"""
+            SELECT outcome, count(*) AS row_count FROM (
+              SELECT CASE WHEN doc_id % {REVIEW_FAULTS["cut"]} = 0 THEN 'malformed'
+                          WHEN doc_id % {REVIEW_FAULTS["rating"]} = 0 THEN 'unparsable:rating'
+                          WHEN doc_id % {REVIEW_FAULTS["high"]} = 0 THEN 'out_of_range'
+                          WHEN rating IS NULL THEN 'missing:rating'
+                          WHEN NOT rating BETWEEN {DEFAULT.min_rating} AND {DEFAULT.max_rating} THEN 'out_of_range'
+                          WHEN length(regexp_replace(lower(concat_ws(' ', coalesce(title, ''), coalesce(text, ''))),
+                                      '[^a-zA-Z \\t\\n\\x0B\\f\\r]+', '', 'g')) < {DEFAULT.min_review_length}
+                          THEN 'too_short' ELSE 'kept' END AS outcome FROM reviews) GROUP BY 1"""),
         "rating_distribution": q(*RV, body=f"""
             SELECT rating, count(*) AS review_count, {pct('count(*)', 'sum(count(*)) OVER ()')} AS percentage
             FROM clean_reviews GROUP BY rating"""),

@@ -3,6 +3,8 @@ of intermediate tables in the cluster's checkpoint folder."""
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import tempfile
 import uuid
@@ -10,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from . import storage
+from . import __version__, storage
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -86,19 +88,65 @@ def remove_run(spark: SparkSession, run_id: str) -> None:
     storage.delete(spark, run_dir(spark, run_id))
 
 
+def fingerprint(spark: SparkSession, job: str, inputs: list[str | list[str]], settings: object = None) -> str:
+    """Digest of what a job's staged tables depend on: the files under its
+    inputs (path, size, time), its settings and the library's version."""
+    files = [[e.path, e.size, e.modified_ms] for paths in inputs for e in storage.input_files(spark, paths)]
+    return hashlib.sha256(json.dumps([__version__, job, repr(settings), files]).encode()).hexdigest()
+
+
+class Ledger:
+    """Which steps of a run have finished, and on what inputs.
+
+    A step is recorded once its table is written whole. A job that is started
+    again under the same run id skips the steps recorded with the same
+    fingerprint; with other inputs or settings it does them again, beside the
+    old tables. Without a fingerprint nothing is recorded or skipped."""
+
+    def __init__(self, spark: SparkSession, run_id: str | None = None, fingerprint: str | None = None) -> None:
+        self.spark, self.run_id, self.fingerprint = spark, run_id or uuid.uuid4().hex, fingerprint
+
+    def path(self, name: str) -> str:
+        tag = f"-{self.fingerprint[:16]}" if self.fingerprint else ""
+        return f"{run_dir(self.spark, self.run_id)}/{name}{tag}"
+
+    def _record(self, name: str) -> str:
+        return f"{run_dir(self.spark, self.run_id)}/_steps/{name}.json"
+
+    def finished(self, name: str) -> dict | None:
+        """What was recorded of the step, if it need not be done again."""
+        text = storage.read_text(self.spark, self._record(name)) if self.fingerprint else None
+        record = json.loads(text) if text else {}
+        return record["about"] if record.get("fingerprint") == self.fingerprint and record else None
+
+    def finish(self, name: str, about: dict) -> None:
+        if self.fingerprint:
+            storage.write_text(self.spark, self._record(name),
+                               json.dumps({"fingerprint": self.fingerprint, "about": about}))
+
+    def stage(self, df: DataFrame, name: str, counts: dict[str, int] | None = None) -> DataFrame:
+        """``stage_table``, unless the step has finished before."""
+        done = self.finished(name)
+        if done is None:
+            done = {"rows": _write_counted(df, name, self.path(name))}
+            self.finish(name, done)
+        if counts is not None:
+            counts[name] = done["rows"]
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+
+def _write_counted(df: DataFrame, name: str, path: str) -> int:
+    """Write a table; its rows, counted by the write itself (no extra job)."""
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
 def stage_table(df: DataFrame, name: str, run_id: str | None = None,
                 counts: dict[str, int] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
     the whole upstream plan) and gives AQE exact sizes of the staged table.
-    With ``counts``, the number of rows written is recorded under ``name``
-    through an ``Observation`` — collected by the write itself, no extra job."""
-    spark = df.sparkSession
-    path = f"{run_dir(spark, run_id or uuid.uuid4().hex)}/{name}"
-    obs = Observation(name) if counts is not None else None
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
-    out.write.mode("overwrite").parquet(path)
-    if obs is not None:
-        counts[name] = obs.get["rows"]
-    return spark.read.parquet(path)
+    With ``counts``, the number of rows written is recorded under ``name``."""
+    return Ledger(df.sparkSession, run_id).stage(df, name, counts)

@@ -235,3 +235,34 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather observations with their city's coordinates as CSV lines."""
     rows = weather(spark, sf_dir).join(cities(spark, sf_dir), "city", "left")
     return rows.select(F.to_csv(F.struct(*WEATHER.fieldNames())).alias("line"))
+
+
+#: Faults planted in the lines, by event or document id.
+EVENT_FAULTS = {"cut": 97, "price": 89, "time": 83, "type": 79}
+REVIEW_FAULTS = {"cut": 61, "rating": 53, "high": 47}
+
+
+def faulty_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_lines`` with the event's id as the brand and with faults: lines
+    cut short, prices and times that are none, empty types."""
+    i = F.col("event_id")
+    ev = shop_events(spark, sf_dir).withColumns({
+        "category_id": F.col("product_id") * 10, "brand": i.cast("string"),
+        "price": F.when(i % EVENT_FAULTS["price"] == 0, "n/a").otherwise(F.col("price")),
+        "event_time": F.when(i % EVENT_FAULTS["time"] == 0, "yesterday").otherwise(F.col("event_time")),
+        "event_type": F.when(i % EVENT_FAULTS["type"] == 0, F.lit(None).cast("string")).otherwise(F.col("event_type"))})
+    whole = F.to_csv(F.struct(*SHOP_EVENTS.fieldNames()))
+    return ev.select(F.when(i % EVENT_FAULTS["cut"] == 0, F.concat(F.lit("cut off,"), i.cast("string"))).otherwise(whole)
+                     .alias("line"))
+
+
+def faulty_review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``review_lines`` with the document's id as the product and with faults:
+    JSON that ends early, ratings that are none or too high."""
+    i = F.col("doc_id")
+    rating = (F.when(i % REVIEW_FAULTS["rating"] == 0, "five").when(i % REVIEW_FAULTS["high"] == 0, "9.0")
+              .otherwise(F.col("rating").cast("string")))
+    rows = reviews(spark, sf_dir).withColumns({"rating": rating, "asin": i.cast("string")})
+    whole = F.to_json(F.struct(*REVIEWS.fieldNames()))
+    return rows.select(F.when(i % REVIEW_FAULTS["cut"] == 0, F.concat(F.lit('{"asin": "'), i.cast("string"))).otherwise(whole)
+                       .alias("line"))
