@@ -74,9 +74,9 @@ class Run:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         path = f"{self.dir}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=codec)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -22,9 +22,11 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ BLOCK, PIECE = 32 << 20, 4 << 20
 END = b"\xff"
 #: Distinct runs and words that a task holds before it sends them.
 HELD_RUNS, HELD_WORDS = 1 << 21, 1 << 18
+#: Bytes that are scored at once (and the piece that goes beyond them).
+SCORED_BYTES = 1 << 20
 #: Words beyond this length are sent as a digest.
 LONG_WORD = 24
 
@@ -131,7 +135,7 @@ def _terms(depth: int):
                 sums[word_key(w)] += n
             words.clear()
             if sums:
-                yield out(block, words=list(sums), n=list(sums.values()))
+                yield out(block, words=sorted(sums), n=[sums[w] for w in sorted(sums)])
 
         for batch in batches:
             blocks = batch.column(0).to_numpy()
@@ -164,31 +168,111 @@ def _terms(depth: int):
     return count
 
 
-def _ln_gamma(x: Column) -> Column:
+def _ln_gamma(x, ln):
     """ln of the gamma function for x of 0.5 or more: Stirling's series at
-    x + 8, less the logarithm of the factors between (error under 1e-12)."""
+    x + 8, less the logarithm of the factors between (error under 1e-12).
+    Columns and arrays alike; ``ln`` is their logarithm."""
     z = x + 8
     factors = x
     for k in range(1, 8):
         factors = factors * (x + k)
     y = 1 / (z * z)
-    series = (((((F.lit(1 / 1188) * y - F.lit(1 / 1680)) * y + F.lit(1 / 1260)) * y - F.lit(1 / 360)) * y) + F.lit(1 / 12)) / z
-    return (z - 0.5) * F.ln(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series - F.ln(factors)
+    series = (((((y * (1 / 1188) - 1 / 1680) * y + 1 / 1260) * y - 1 / 360) * y) + 1 / 12) / z
+    return (z - 0.5) * ln(z) - z + 0.5 * math.log(2 * math.pi) + series - ln(factors)
 
 
-def _ln_estimate(a: Column, b: Column) -> Column:
+def _ln_estimate(a, b, ln=F.ln):
     """ln of the Krichevsky-Trofimov probability of a zeros and b ones."""
-    return _ln_gamma(a + 0.5) + _ln_gamma(b + 0.5) - F.lit(math.log(math.pi)) - _ln_gamma(a + b + 1)
-
-
-def _decisions(runs: DataFrame, *columns: str) -> DataFrame:
-    """Runs → their eight decisions: node (the context, then the place among
-    the 255: a one and the byte's bits so far) and bit."""
-    byte = F.col("run").bitwiseAND(255)
-    context = F.shiftleft(F.shiftright("run", 8), 8)
-    each = [F.struct(context.bitwiseOR(F.lit(1 << k).cast("long").bitwiseOR(F.shiftright(byte, 8 - k))).alias("node"),
-                     F.shiftright(byte, 7 - k).bitwiseAND(1).alias("bit")) for k in range(8)]
-    return runs.select(*columns, F.explode(F.array(*each)).alias("d")).select(*columns, "d.node", "d.bit")
+    return _ln_gamma(a + 0.5, ln) + _ln_gamma(b + 0.5, ln) - math.log(math.pi) - _ln_gamma(a + b + 1, ln)
+
+
+def decisions(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each run's last byte: node (the context, then
+    the place among the 255: a one and the byte's bits so far) and bit."""
+    byte, context = runs & 255, (runs >> 8) << 8
+    nodes = np.stack([context | (1 << k) | (byte >> (8 - k)) for k in range(8)], axis=1)
+    return nodes, np.stack([(byte >> (7 - k)) & 1 for k in range(8)], axis=1)
+
+
+class Level(NamedTuple):
+    """Contexts of one depth: node, zeros, ones, ln of the weighted
+    probability, the weight of their own estimate and of longer contexts;
+    ``of`` is the place of each longer node (or decision) in it."""
+    node: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    lp: np.ndarray
+    stop: np.ndarray
+    go: np.ndarray
+    of: np.ndarray
+
+
+def deepest_levels(runs: np.ndarray, n: np.ndarray, depth: int, low: int) -> list[Level]:
+    """Levels ``depth`` down to ``low`` of runs that are all there are under
+    their contexts of ``low`` bytes. A context's key is the low bytes of its
+    longer ones' keys."""
+    nodes, bits = decisions(runs)
+    node, of = np.unique(nodes.ravel(), return_inverse=True)
+    counts, ones = np.repeat(n, 8).astype(np.float64), bits.ravel() == 1
+    a, b = np.bincount(of, counts * ~ones, len(node)), np.bincount(of, counts * ones, len(node))
+    levels = [Level(node, a, b, _ln_estimate(a, b, np.log), np.ones(len(node)), np.zeros(len(node)), of)]
+    for d in range(depth - 1, low - 1, -1):
+        x = levels[-1]
+        node, of = np.unique(x.node & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        a, b, longer = (np.bincount(of, v, len(node)) for v in (x.a, x.b, x.lp))
+        own = _ln_estimate(a, b, np.log)
+        with np.errstate(over="ignore"):
+            levels.append(Level(node, a, b, np.logaddexp(own, longer) - math.log(2), 1 / (1 + np.exp(longer - own)),
+                                1 / (1 + np.exp(own - longer)), of))
+    return levels
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[list[np.ndarray]]:
+    """Batches sorted by their first column → columns of whole groups of it,
+    some ``rows`` or one group at a time."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        if sum(len(h[0]) for h in held) >= rows:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            end = int(np.searchsorted(columns[0], columns[0][-1]))
+            if end:
+                yield [c[:end] for c in columns]
+            held = [[c[end:] for c in columns]]
+            rows = max(rows, 2 * len(held[0][0]))
+    if held and sum(len(h[0]) for h in held):
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _upwards(depth: int, low: int):
+    """Runs sorted by their context of ``low`` bytes → that level's nodes."""
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, runs, n in _whole_groups(batches):
+            x = deepest_levels(runs, n, depth, low)[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in x[:6]], ["node", "a", "b", "lp", "stop", "go"])
+    return up
+
+
+def _downwards(depth: int, low: int):
+    """Runs and mixed nodes of level ``low``, sorted by context → each run
+    with log10 of its last byte's probability."""
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, is_run, ids, n, p0, p1, rest in _whole_groups(batches):
+            is_run = is_run.astype(bool)
+            runs = ids[is_run]
+            levels = deepest_levels(runs, n[is_run], depth, low)
+            order = np.argsort(ids[~is_run])
+            p0, p1, rest = (c[~is_run][order] for c in (p0, p1, rest))  # by node, as the level has them
+            for longer, x in zip(levels[-2::-1], levels[:0:-1]):
+                total = longer.a + longer.b + 1
+                p0, p1, rest = p0[x.of], p1[x.of], rest[x.of]
+                p0 = p0 + rest * longer.stop * (longer.a + 0.5) / total
+                p1 = p1 + rest * longer.stop * (longer.b + 0.5) / total
+                rest = rest * longer.go
+            of = levels[0].of
+            p = np.where(decisions(runs)[1].ravel() == 1, p1[of], p0[of])
+            yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(np.log10(p).reshape(-1, 8).sum(axis=1))], ["run", "lp"])
+    return down
 
 
 def run_scores(runs: DataFrame, depth: int, run: Run) -> DataFrame:
@@ -196,21 +280,21 @@ def run_scores(runs: DataFrame, depth: int, run: Run) -> DataFrame:
     of the probability of the run's last byte after the bytes before it.
 
     Upwards, each level adds counts and weighted probabilities of its longer
-    contexts; a context's key is its longer ones' low bytes. Downwards, a
-    context adds its own estimate by the weight that the halves have given it
-    after training and hands the rest on. A context has at most 256 longer
-    ones, so no group and no side of a join is hot. The joins merge: a level's
-    files say little of its size in memory, so none is broadcast by them."""
-    n = F.col("n")
-    counts = (_decisions(runs, "n").groupBy("node")
-              .agg(F.sum(F.when(F.col("bit") == 0, n).otherwise(0)).cast("double").alias("a"),
-                   F.sum(F.when(F.col("bit") == 1, n).otherwise(0)).cast("double").alias("b")))
-    a, b = F.col("a"), F.col("b")
-    level = run.stage(counts.withColumn("lp", _ln_estimate(a, b))
-                      .withColumn("stop", F.lit(1.0)).withColumn("go", F.lit(0.0)), f"level-{depth}")
-    levels = {depth: level}
-    own, longer = F.col("own"), F.col("longer")
-    for d in range(depth - 1, -1, -1):
+    contexts; downwards, a context adds its own estimate by the weight that
+    the halves have given it after training and hands the rest on. The two
+    deepest levels, which hold nearly all nodes, are worked out in arrays:
+    a context two bytes shorter than the deepest has at most 2^24 runs, a
+    bound that no input moves. The others are aggregations and joins, whose
+    keys have at most 256 longer ones; none is hot. The joins merge: a
+    level's files say little of its size in memory."""
+    low = max(depth - 2, 0)
+    key = F.shiftright("run", 8).bitwiseAND((1 << 8 * low) - 1)
+    grouped = runs.select(key.alias("key"), "run", "n")
+    a, b, own, longer = (F.col(c) for c in ("a", "b", "own", "longer"))
+    levels = {low: run.stage(grouped.repartition("key").sortWithinPartitions("key")
+                             .mapInArrow(_upwards(depth, low), "node long, a double, b double, lp double, stop double, go double"),
+                             f"level-{low}")}
+    for d in range(low - 1, -1, -1):
         t = (levels[d + 1].groupBy(F.col("node").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("node"))
              .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lp").alias("longer")))
         t = t.withColumn("own", _ln_estimate(a, b))
@@ -218,21 +302,26 @@ def run_scores(runs: DataFrame, depth: int, run: Run) -> DataFrame:
         levels[d] = run.stage(t.select("node", "a", "b", both.alias("lp"), (1 / (1 + F.exp(longer - own))).alias("stop"),
                                        (1 / (1 + F.exp(own - longer))).alias("go")), f"level-{d}")
     mixed = None
-    for d in range(depth + 1):
+    for d in range(low + 1):
         zero, one = [(c + 0.5) / (a + b + 1) * F.col("stop") for c in (a, b)]
         t = levels[d]
         if mixed is None:
             t = t.select("node", zero.alias("p0"), one.alias("p1"), F.col("go").alias("rest"))
         else:
             up = mixed.withColumnsRenamed({"node": "up", "p0": "u0", "p1": "u1"})
-            t = (t.join(up.hint("merge"), F.col("node").bitwiseAND((1 << 8 * d) - 1) == F.col("up"))
-                 .select("node", (F.col("u0") + F.col("rest") * zero).alias("p0"),
-                         (F.col("u1") + F.col("rest") * one).alias("p1"), (F.col("rest") * F.col("go")).alias("rest")))
+            left = F.col("left")
+            t = (t.join(up.withColumnRenamed("rest", "left").hint("merge"),
+                        F.col("node").bitwiseAND((1 << 8 * d) - 1) == F.col("up"))
+                 .select("node", (F.col("u0") + left * zero).alias("p0"), (F.col("u1") + left * one).alias("p1"),
+                         (left * F.col("go")).alias("rest")))
         mixed = run.stage(t, f"mixed-{d}")
-        run.drop(f"level-{d}", *[f"mixed-{d - 1}"][:d])
-    p = F.when(F.col("bit") == 1, F.col("p1")).otherwise(F.col("p0"))
-    scores = _decisions(runs, "run").join(mixed.hint("merge"), "node").groupBy("run").agg(F.sum(F.log10(p)).alias("lp"))
-    return run.stage(scores, "run-scores")
+    none = F.lit(0.0)
+    both = (grouped.select("key", F.lit(1).alias("is_run"), F.col("run").alias("id"), "n", none.alias("p0"), none.alias("p1"),
+                           none.alias("rest"))
+            .unionByName(mixed.select(F.shiftright("node", 8).alias("key"), F.lit(0).alias("is_run"), F.col("node").alias("id"),
+                                      F.lit(0).cast("long").alias("n"), "p0", "p1", "rest")))
+    return run.stage(both.repartition("key").sortWithinPartitions("key")
+                     .mapInArrow(_downwards(depth, low), "run long, lp double"), "run-scores")
 
 
 def _scored(depth: int, tokens: int, distinct: int, ends: int):
@@ -245,20 +334,29 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
         runs = run.drop_null().to_numpy()
         order = np.argsort(runs, kind="stable")
         runs, lp = runs[order], value[is_run][order]
-        known = dict(zip(right.column("word").filter(pa.array(~is_run)).to_pylist(), value[~is_run]))
-        rows = []
-        for r in left.select(["head", "body", "last"]).to_pylist():
-            found, _ = runs_of([r["head"] + r["body"] + (END if r["last"] else b"")], depth)
-            words = r["body"].split()
-            c = [known.get(w) if len(w) <= LONG_WORD else known[word_key(w)] for w in words]
-            if r["last"]:
-                c.append(ends)
-            c = np.array(c, np.float64)
-            rows.append((len(found) - r["last"], len(c), int((c > 0).sum()), float(np.log10((c + 0.5) / floor).sum()),
-                         float(lp[np.searchsorted(runs, found.view(np.int64))].sum())))
+        known = dict(zip(right.column("word").filter(pa.array(~is_run)).to_pylist(), value[~is_run].tolist()))
+        out: list[list[np.ndarray]] = []
+        texts = left.select(["head", "body", "last"]).combine_chunks()
+        filled = np.cumsum(pc.binary_length(texts.column("body")).to_numpy()) // SCORED_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(filled)]
+        for first, after in zip(cuts, cuts[1:]):
+            heads, bodies, last = (c.to_pylist() for c in texts.slice(first, after - first).columns)
+            end = np.array(last)
+            # Every piece has a run or is a text's end; every text ends in a token.
+            found, sizes = runs_of([h + t + (END if e else b"") for h, t, e in zip(heads, bodies, last)], depth)
+            score = np.add.reduceat(lp[np.searchsorted(runs, found.view(np.int64))], np.cumsum(sizes) - sizes)
+            words = [t.split() for t in bodies]
+            c = np.array([known[w] if len(w) <= LONG_WORD else known[word_key(w)] for ws in words for w in ws], np.float64)
+            size = np.array([len(ws) for ws in words])
+            sums = [np.concatenate(([0.0], np.cumsum(x))) for x in (np.log10((c + 0.5) / floor), c > 0)]
+            stop = np.cumsum(size)
+            base, seen = (x[stop] - x[stop - size] for x in sums)
+            base += end * math.log10((ends + 0.5) / floor)
+            out.append([sizes - end, size + end, seen.astype(np.int64) + end * (ends > 0), base, score])
+        columns = [np.concatenate(c) for c in zip(*out)]
         return pa.Table.from_arrays(
             [left.column("doc_id"), left.column("row"), left.column("held_out"),
-             *[pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]],
+             *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]],
             ["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score"])
     return score
 
@@ -284,9 +382,9 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: in
                          F.coalesce(held_out, F.lit(False)).alias("held_out"), col(text_col).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     parts = run.stage(source.mapInArrow(_blocks(depth, block), f"doc_id {id_type}, row long, block long, held_out boolean, "
-                                        "head binary, body binary, last boolean"), "pieces")
+                                        "head binary, body binary, last boolean"), "pieces", codec="zstd")
     terms = run.stage(parts.select("block", "held_out", "head", "body", "last")
-                      .mapInArrow(_terms(depth), "block long, run long, word binary, n long"), "terms")
+                      .mapInArrow(_terms(depth), "block long, run long, word binary, n long"), "terms", codec="zstd")
     runs = run.stage(terms.filter("run is not null").groupBy("run").agg(F.sum("n").alias("n")), "runs")
     lp = run_scores(runs, depth, run)
     words = run.stage(terms.filter("word is not null").groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
