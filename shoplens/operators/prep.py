@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.columns import calendar_fields, parse_event_time, sentiment_label, top_level
 from ..functions.text import clean_text, review_text
 from ..settings import DEFAULT, EVENT_TIME_FORMAT, REVIEW_CATEGORY
+from .bloom import Bloom, bloom, n_words
 
 
 def event_time(df: DataFrame, time_col: str = "event_time", time_format: str = EVENT_TIME_FORMAT) -> Column:
@@ -55,7 +56,7 @@ def bot_sessions(df: DataFrame, key: str = "user_session", max_events: int = 500
 
 
 def drop_bot_sessions(df: DataFrame, key: str = "user_session", max_events: int = 500,
-                      bots: DataFrame | None = None) -> DataFrame:
+                      bots: DataFrame | None = None, prefilter: Bloom | None = None) -> DataFrame:
     """Keep events whose session has at most ``max_events`` events.
 
     Rows with a null session vanish, as in an inner join on the key.
@@ -64,10 +65,26 @@ def drop_bot_sessions(df: DataFrame, key: str = "user_session", max_events: int
     size of the key table is known to be small — AQE sees it at run time, or
     the caller passes ``bots`` that it has staged — Spark broadcasts it and
     the events are filtered where they lie. Else it is a sort-merge join
-    whose skewed session partitions AQE splits."""
+    whose skewed session partitions AQE splits.
+
+    ``prefilter`` (``bot_prefilter``) is for key tables too large to
+    broadcast: events that it clears stay where they are, and only those of
+    sessions that may be bots are shuffled to the exact join. The events are
+    read twice, so they should be staged."""
     if bots is None:
         bots = bot_sessions(df, key, max_events)
-    return df.filter(F.col(key).isNotNull()).join(bots, key, "left_anti")
+    df = df.filter(F.col(key).isNotNull())
+    if prefilter is None:
+        return df.join(bots, key, "left_anti")
+    suspect = prefilter.may_hold(F.col(key))
+    return df.filter(~suspect).unionByName(df.filter(suspect).join(bots, key, "left_anti"))
+
+
+def bot_prefilter(bots: DataFrame, count: int, key: str = "user_session", rate: float = DEFAULT.bot_prefilter_rate,
+                  max_bytes: int = DEFAULT.bot_prefilter_bytes) -> Bloom:
+    """Bloom filter of the ``count`` bot sessions (staged): at most
+    ``max_bytes``, and about ``rate`` of other sessions not cleared."""
+    return bloom(bots, key, n_words(count, rate, max_bytes))
 
 
 def clean_events(
@@ -77,11 +94,12 @@ def clean_events(
     session_col: str = "user_session",
     drop_bots: bool = True,
     bots: DataFrame | None = None,
+    prefilter: Bloom | None = None,
     **prepare_kw,
 ) -> DataFrame:
     """``prepare_events`` then the bot-session filter."""
     out = prepare_events(df, **prepare_kw)
-    return drop_bot_sessions(out, session_col, max_events, bots) if drop_bots else out
+    return drop_bot_sessions(out, session_col, max_events, bots, prefilter) if drop_bots else out
 
 
 def clean_reviews(

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators import behaviour as B
 from ..operators import charts as V
+from ..operators import distinct as D
 from ..operators import models as M
 from ..operators import prep as P
 from ..operators import sampling as S
@@ -46,6 +47,26 @@ def clean_events(spark: SparkSession, sf: str) -> DataFrame:
     return P.clean_events(X.shop_events(spark, sf), max_events=FIXTURE_MAX_EVENTS)
 
 
+def prefiltered_events(spark: SparkSession, sf: str) -> DataFrame:
+    """P6 with the Bloom filter: staged events, staged bot sessions."""
+    scratch = Ledger(spark, scratch_dir(spark).rsplit("/", 1)[1])
+    events = scratch.stage(prepared_events(spark, sf), "prepared")
+    counts: dict[str, int] = {}
+    bots = scratch.stage(P.bot_sessions(events, max_events=FIXTURE_MAX_EVENTS), "bots", counts)
+    return P.drop_bot_sessions(events, bots=bots, prefilter=P.bot_prefilter(bots, counts["bots"]))
+
+
+def user_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A6, A11 from stored state: the users of each day and event type,
+    in two parts appended to the store, merged into months, years and all."""
+    store = f"{scratch_dir(spark)}/store"
+    events = clean_events(spark, sf)
+    for part in (0, 1):
+        late = F.pmod("event_id", F.lit(2)) == part
+        write_results(D.user_bitmaps(events.filter(late), ["event_date", "event_type"]), store, "daily_users", append=True)
+    return D.calendar_spans(read_results(spark, store, "daily_users"), ["event_type"])
+
+
 def prepared_events(spark: SparkSession, sf: str) -> DataFrame:
     return P.prepare_events(X.shop_events(spark, sf))
 
@@ -166,6 +187,8 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
 def _rq1() -> dict[str, Query]:
     return {
         "clean_events": clean_events,
+        "prefiltered_events": prefiltered_events,
+        "user_spans": user_spans,
         "bot_filtered_sessions": lambda s, d: B.bot_filtered_sessions(
             P.prepare_events(X.shop_events(s, d)), max_events=FIXTURE_MAX_EVENTS),
         "event_distribution": lambda s, d: B.event_distribution(clean_events(s, d)),

@@ -112,9 +112,14 @@ def behaviour_job(spark: SparkSession, events_path: str | list[str], *, fmt: str
         "prepared_events", ledger,
     )
     prepared = split.kept
-    bots = ledger.stage(P.bot_sessions(prepared, max_events=settings.max_session_events), "bot_sessions")
-    clean = P.drop_bot_sessions(prepared, max_events=settings.max_session_events, bots=bots)
-    _log_counts("behaviour", {f"prepared_events ({k})": n for k, n in split.counts.items()})
+    counts: dict[str, int] = {}
+    bots = ledger.stage(P.bot_sessions(prepared, max_events=settings.max_session_events), "bot_sessions", counts)
+    prefilter = None
+    if counts["bot_sessions"] > settings.bot_broadcast_rows:
+        prefilter = P.bot_prefilter(bots, counts["bot_sessions"], rate=settings.bot_prefilter_rate,
+                                    max_bytes=settings.bot_prefilter_bytes)
+    clean = P.drop_bot_sessions(prepared, max_events=settings.max_session_events, bots=bots, prefilter=prefilter)
+    _log_counts("behaviour", counts | {f"prepared_events ({k})": n for k, n in split.counts.items()})
     rsd = settings.distinct_rsd
     results = {
         "event_distribution": B.event_distribution(clean, rsd),

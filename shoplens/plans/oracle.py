@@ -149,6 +149,11 @@ def _rq1() -> dict[str, str]:
     w = PEAK_WIDTH
     return {
         "clean_events": q(*EV, body="SELECT * FROM clean_events"),
+        "prefiltered_events": q(*EV, body="SELECT * FROM clean_events"),
+        "user_spans": q(*EV, body="""
+            SELECT event_type, span, count(DISTINCT user_id) AS unique_users
+            FROM (SELECT event_type, user_id, unnest([strftime(event_date, '%Y-%m'), strftime(event_date, '%Y'), 'all']) AS span
+                  FROM clean_events WHERE event_date IS NOT NULL) GROUP BY event_type, span"""),
         "bot_filtered_sessions": q(SHOP_EVENTS_SQL, PREPARED, SESSIONS, body=f"""
             SELECT user_session, event_count, event_count > {FIXTURE_MAX_EVENTS} AS is_bot FROM sessions"""),
         "event_distribution": q(*EV, body="""

@@ -107,6 +107,11 @@ class Settings:
     # RQ1
     event_time_format: str = EVENT_TIME_FORMAT
     max_session_events: int = 500
+    # Bloom filter of the bot sessions, where they are too many to broadcast
+    bot_prefilter_rate: float = 0.01
+    bot_prefilter_bytes: int = 1 << 20
+    # more bot sessions than this are too many (a broadcast row: about 100 bytes)
+    bot_broadcast_rows: int = 100_000
     category_separator: str = "."
     # RQ2
     min_review_length: int = 10
