@@ -4,6 +4,7 @@ rows, and connected components."""
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -84,6 +85,13 @@ class Run:
             p, fs = self._path(f"{self.dir}/{name}")
             fs.delete(p, True)
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of frames that are written and
+        that nothing refers to any more: it does so when the driver's JVM
+        collects them, which may else be long after the disks are full."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def connected_components(edges: DataFrame, run: Run, rounds: int = 60) -> DataFrame:
     """``edges`` (a long, b long, a <> b) → (node, root): the smallest node

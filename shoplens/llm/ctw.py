@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Run, col
@@ -315,6 +315,7 @@ def run_scores(runs: DataFrame, depth: int, run: Run) -> DataFrame:
                  .select("node", (F.col("u0") + left * zero).alias("p0"), (F.col("u1") + left * one).alias("p1"),
                          (left * F.col("go")).alias("rest")))
         mixed = run.stage(t, f"mixed-{d}")
+        run.drop(*([f"mixed-{d - 1}", f"level-{d}"] if d else []))
     none = F.lit(0.0)
     both = (grouped.select("key", F.lit(1).alias("is_run"), F.col("run").alias("id"), "n", none.alias("p0"), none.alias("p1"),
                            none.alias("rest"))
@@ -344,7 +345,9 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
             end = np.array(last)
             # Every piece has a run or is a text's end; every text ends in a token.
             found, sizes = runs_of([h + t + (END if e else b"") for h, t, e in zip(heads, bodies, last)], depth)
-            score = np.add.reduceat(lp[np.searchsorted(runs, found.view(np.int64))], np.cumsum(sizes) - sizes)
+            # Distinct runs are looked up in order, which keeps to near memory.
+            some, of = np.unique(found.view(np.int64), return_inverse=True)
+            score = np.add.reduceat(lp[np.searchsorted(runs, some)][of], np.cumsum(sizes) - sizes)
             words = [t.split() for t in bodies]
             c = np.array([known[w] if len(w) <= LONG_WORD else known[word_key(w)] for ws in words for w in ws], np.float64)
             size = np.array([len(ws) for ws in words])
@@ -387,14 +390,20 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: in
                       .mapInArrow(_terms(depth), "block long, run long, word binary, n long"), "terms", codec="zstd")
     runs = run.stage(terms.filter("run is not null").groupBy("run").agg(F.sum("n").alias("n")), "runs")
     lp = run_scores(runs, depth, run)
-    words = run.stage(terms.filter("word is not null").groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
+    run.drop("runs")
+    # A word has a row a block, so these windows hold no more rows than that.
+    of_word = Window.partitionBy("word")
+    words = run.stage(terms.filter("word is not null")
+                      .select("block", "word", F.sum("n").over(of_word).cast("double").alias("value"),
+                              F.row_number().over(of_word.orderBy("block")).alias("place")), "words", codec="zstd")
     ends = parts.filter("last and not held_out").count()
-    sums = words.agg(F.sum("value").cast("long").alias("n"), F.count_if(F.col("value") > 0).alias("v")).first()
+    once = F.when(F.col("place") == 1, F.col("value"))
+    sums = words.agg(F.sum(once).cast("long").alias("n"), F.count_if(once > 0).alias("v")).first()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
+    run.release()
     model = (terms.filter("run is not null").select("block", "run").join(lp.hint("merge"), "run")
              .select("block", "run", F.lit(None).cast("binary").alias("word"), F.col("lp").alias("value"))
-             .unionByName(terms.filter("word is not null").select("block", "word").join(words.hint("merge"), "word")
-                          .select("block", F.lit(None).cast("long").alias("run"), "word", "value")))
+             .unionByName(words.select("block", F.lit(None).cast("long").alias("run"), "word", "value")))
     scored = (parts.groupBy("block").cogroup(model.groupBy("block"))
               .applyInArrow(_scored(depth, tokens, distinct, ends),
                             f"doc_id {id_type}, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, "

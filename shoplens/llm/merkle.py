@@ -134,7 +134,9 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, id_col: str = "
         col(id_col).alias("doc_id"), col(group).alias("grp"), digest([col(f) for f in fields]).alias("digest"),
         (digest([now.get(f, col(f)) for f in fields]) if now else F.lit(None).cast("string")).alias("shown"))
     leaves = run.stage(base.withColumn("row", F.monotonically_increasing_id()), "leaves")
-    leaves = ranked(leaves, ["grp"], [F.col(c).asc_nulls_first() for c in ("doc_id", "digest", "shown", "row")], run, "leaves")
+    # Sixty bits of the digest order rows that repeat an id.
+    tie = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
+    leaves = ranked(leaves, ["grp"], [F.col("doc_id").asc_nulls_first(), tie.asc(), F.col("row").asc()], run, "leaves")
     levels = tree(leaves.drop("row"), run, "group", fanout, ["doc_id", "shown"])
     run.drop("leaves")
 

@@ -59,7 +59,7 @@ def feature_buckets(text: str | None, splitter, breaks, grams: int, buckets: int
             runs = words[first:] if size == 1 else (
                 " ".join(words[k:k + size]) for k in range(first, len(words) - size + 1))
             out.append(np.fromiter((zlib.crc32(r.encode()) % buckets for r in runs), np.uint32))
-        before = words[len(words) - grams + 1:] if grams > 1 else []
+        before = words[max(0, len(words) - grams + 1):] if grams > 1 else []
     return n, np.concatenate(out)
 
 
