@@ -19,6 +19,8 @@ from .common import Run, col, n_words
 
 #: Bits of a document's hash, and bits that each histogram resolves.
 HASH_BITS, STEP_BITS = 60, 10
+#: A text with a word has a character other than ASCII white space.
+ONE_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _source_order() -> list[Column]:
@@ -52,10 +54,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return t.withColumn("target", target).select("source", "source_size", "target")
 
 
+def row_hash(id_: Column, text: Column) -> Column:
+    """60 bits of the md5 of a document's id and its text's md5: the same in
+    any engine, and equal for rows that share both only."""
+    whole = F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("long")
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
                 id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """How often the mix takes each document: one row per row of ``docs`` with
-    doc_id, source, size (words), source_size, target (of its source),
+    doc_id, source, hash, size (words), source_size, target (of its source),
     repeats (0, 1, 2, …) and taken = repeats × size.
 
     ``weights`` go to the sources by code point, null last, and repeat.
@@ -65,13 +74,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     source nearer its target.
 
     Null or empty text: size 0, taken 0. Null sources form one source. The
-    hash is of the document's id, so reruns agree; rows that share an id (or
-    have none) and source share a hash and are taken together. Empty table:
-    no rows. Extra columns are ignored."""
+    hash is of the document's id and text, so reruns agree; rows of a source
+    that share both are taken together, so a source that is mostly one
+    repeated row may miss its target by half of that row's words. Sources are
+    few (their targets are found by a window over one row each). Long texts
+    are counted whole, in the JVM. Empty table: no rows. Extra columns are
+    ignored."""
     run = Run(docs.sparkSession, "mixing")
     top = HASH_BITS - STEP_BITS
-    # 60 bits of the id's md5: the same in any engine.
-    h = F.conv(F.substring(F.md5(F.coalesce(col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    h = row_hash(col(id_col), col(text_col))
     base = run.stage(docs.select(col(id_col).alias("doc_id"), col(source_col).alias("source"),
                                  n_words(col(text_col)).alias("size"), h.alias("h")), "sizes")
     hist = run.stage(base.groupBy("source", F.shiftright("h", top).alias("b"))
@@ -113,7 +124,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
                                                          "whole", "cut"), "cuts")
     out = base.join(last, F.col("source").eqNullSafe(F.col("s")))
     repeats = F.when(F.col("size") > 0, F.col("whole") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", repeats.cast("long").alias("repeats"),
+    return out.select("doc_id", "source", F.col("h").alias("hash"), "size", "source_size", "target", repeats.cast("long").alias("repeats"),
                       (repeats * F.col("size")).cast("long").alias("taken"))
 
 
@@ -122,12 +133,13 @@ def repeat_documents(docs: DataFrame, columns: Sequence[str], **how) -> DataFram
     ``mix_sources`` takes it; documents without words are not in it."""
     id_col, source_col = how.get("id_col", "doc_id"), how.get("source_col", "source")
     text_col = how.get("text_col", "text")
-    # By id and source: rows that share both share their hash and so their decision.
+    # By hash and source: rows that share both share their decision.
     m = (mix_sources(docs, **how).filter("repeats > 0")
-         .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
+         .groupBy(F.col("hash").alias("_hash"), F.col("source").alias("_source"))
          .agg(F.max("repeats").alias("_n")))
-    d = docs.select(*[col(c) for c in columns]).filter(n_words(col(text_col)) > 0)
-    return (d.join(m, col(id_col).eqNullSafe(F.col("_id")) & col(source_col).eqNullSafe(F.col("_source")))
+    d = (docs.select(*[col(c) for c in columns], row_hash(col(id_col), col(text_col)).alias("_h"))
+         .filter(col(text_col).rlike(ONE_WORD)))
+    return (d.join(m, (F.col("_h") == F.col("_hash")) & col(source_col).eqNullSafe(F.col("_source")))
             .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
             .select(*[col(c) for c in columns]))
 
@@ -136,7 +148,7 @@ def repeat_documents(docs: DataFrame, columns: Sequence[str], **how) -> DataFram
 MIX_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
-         cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as h
+         cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 15) as bigint) as h
   from {docs}),
 s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
 r as (select *, [5.0, 2.0, 1.0][cast((row_number() over (order by source is null, source) - 1) % 3 + 1 as int)]::double as weight,

@@ -166,22 +166,21 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str
 def keep_first(docs: DataFrame, columns: list[str], shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``columns`` of the documents that stay when one of each group of
-    ``simhash_groups`` does: that with the smallest id.
+    ``simhash_groups`` does: the one with the smallest id, and of several
+    texts under that id the one of least hash.
 
-    Rows that repeat an id are one document, of which one row stays. Rows
-    without an id stand after all others; of a group of such rows alone, one
-    stays. Empty table: no rows."""
+    Every group keeps exactly one row, so an id that stands over texts of two
+    groups may stay in both. Rows without an id stand after all others. Of
+    equal rows one stays, whichever. Empty table: no rows."""
     run = Run(docs.sparkSession, "simhash-keep")
-    # Rows without an id are told apart by their text.
-    number = F.when(col(id_col).isNull(), F.xxhash64(col(text_col))).otherwise(col(id_col))
-    named = docs.select(*[col(c) for c in columns], col(id_col).isNull().alias("_unnamed"), number.alias("_number"))
+    text_hash = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
     groups = simhash_groups(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"),
-                                        number.alias("number")), shingle, bits, run=run, carry=["number"])
-    stay = (groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_unnamed"),
-                                                       F.col("number").alias("_number"))).alias("s"))
-            .select("s.*").distinct())
-    left = named.join(stay, ["_unnamed", "_number"])
-    # Rows that share an id: which of them stays depends on their content alone.
+                                        text_hash.alias("number")), shingle, bits, run=run, carry=["number"])
+    first_of = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("_id"), F.col("number").alias("_hash"))
+    stay = groups.groupBy("group").agg(F.min(first_of).alias("s")).select("s._id", "s._hash")
+    named = docs.select(*[col(c) for c in columns], text_hash.alias("_number"))
+    left = named.join(stay, col(id_col).eqNullSafe(F.col("_id")) & (F.col("_number") == F.col("_hash")))
+    # Rows that share id and text: which of them stays depends on their content alone.
     order = [F.xxhash64(*[col(c) for c in columns]), col(text_col)]
-    first = F.row_number().over(Window.partitionBy("_unnamed", "_number").orderBy(*order))
+    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(*order))
     return left.withColumn("_first", first).filter("_first = 1").select(*[col(c) for c in columns])

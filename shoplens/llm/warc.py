@@ -25,6 +25,8 @@ from .common import Run, col
 #: Compressed bytes after which the writer begins another archive, bytes the
 #: reader takes at once, and bytes of payload that a batch of rows holds.
 ARCHIVE, PIECE, BATCH = 64 << 20, 1 << 16, 16 << 20
+#: Tasks that read archives at most; beyond, a task reads some after another.
+MOST_READERS = 100_000
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -243,12 +245,13 @@ def _uri(folder: str) -> str:
 def read_archives(manifest: DataFrame, folder: str, columns: list[str] | None = None) -> DataFrame:
     """The records of the manifest's archives (``columns`` of page_id, url,
     record_type, refers_to, payload_bytes, payload_digest, payload), each
-    archive read in order by one task in bounded memory; a damaged one fails
-    the job."""
+    archive read in order by one task of its own in bounded memory; a damaged
+    one fails the job. A manifest row is a few bytes, so that left to itself
+    Spark would give all archives to one task: the number is given."""
     kinds = dict(c.split() for c in _RECORD.split(", "))
     columns = columns or list(kinds)
-    few = manifest.repartition(F.col("path"))
-    return few.mapInPandas(_reader(_uri(folder), columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
+    each = manifest.repartitionByRange(max(1, min(manifest.count(), MOST_READERS)), F.col("path"))
+    return each.mapInPandas(_reader(_uri(folder), columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",

@@ -46,6 +46,17 @@ def test_random_sources_equal_sql(spark, seed):
     assert got == sql_rows(frame)
 
 
+@pytest.mark.parametrize("ids", ["none", "one"])
+def test_rows_without_an_id_of_their_own_meet_the_target(spark, ids):
+    rows = [(i, f"w{i} " * 10, "en", "a", 1) for i in range(100)]
+    rows += [(None if ids == "none" else 7, f"v{i} " * 10, "en", "b", 1) for i in range(200)]
+    t = M.mix_sources(cases.documents(spark, rows)).groupBy("source", "target").sum("taken").collect()
+    assert all(abs(r["sum(taken)"] - r["target"]) <= 10 for r in t) and len(t) == 2
+    docs = cases.documents(spark, rows)
+    mixed = {r["source"]: r["count"] for r in M.repeat_documents(docs, docs.columns[:5]).groupBy("source").count().collect()}
+    assert mixed == {r["source"]: r["sum(taken)"] // 10 for r in t}
+
+
 def test_targets_are_met(spark):
     t = Q.op2_mix_sources(spark, SF).toPandas()
     assert (t["taken"] <= 2 * t["size"]).all() and (t["taken"] % t["size"].clip(lower=1) == 0).all()

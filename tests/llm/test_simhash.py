@@ -98,8 +98,18 @@ def test_edges(spark):
     assert by_id[2][2] == 1 and by_id[3] == (3, "0" * 16, 3) and by_id[5][2] == 3
     assert {r[2] for r in got if r[0] is None} == {None, 3}  # a nameless group has no id
     kept = S.keep_first(cases.documents(spark), ["doc_id", "text", "lang", "source", "n_chars"]).collect()
-    assert sorted(r["doc_id"] or 0 for r in kept).count(9) == 1 and 2 not in {r["doc_id"] for r in kept}
+    # Id 9 stands over two texts, each of a group of its own; of the repeated row one stays.
+    assert sorted(r["doc_id"] or 0 for r in kept).count(9) == 2 and 2 not in {r["doc_id"] for r in kept}
     assert sum(r["doc_id"] is None for r in kept) == 1
     assert S.simhash_groups(cases.documents(spark, [])).count() == 0
     with pytest.raises(ValueError):
         S.near_fingerprints(spark.createDataFrame([], "fp long"), 8, Run(spark, "test"))
+
+
+def test_every_group_keeps_one_row_where_ids_repeat(spark):
+    a, b = "one text that stands alone in its group of words", "another text that two documents with other ids share here"
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for first, second in ((a, b), (b, a)):
+        rows = [(5, first, "en", "a", 1), (5, second, "en", "a", 1), (7, second, "en", "a", 1), (None, first, "en", "a", 1)]
+        kept = S.keep_first(cases.documents(spark, rows), columns).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b)])

@@ -90,3 +90,15 @@ def test_reader_frames_and_checks():
         wrong = head[:head.rindex(b" ") + 1] + str(n).encode() + b"\r\n\r\n" + rest
         with pytest.raises(ValueError):
             list(W.read_records(io.BytesIO(gzip.compress(wrong))))
+
+
+def test_every_archive_is_read_by_a_task_of_its_own(spark):
+    from pyspark.sql import functions as F
+    from shoplens.llm.common import Run
+
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"),
+                                    F.concat(F.sha2(F.col("id").cast("string"), 512), F.repeat(F.lit("x"), 50)).alias("html"))
+    manifest, folder = W.write_archives(pages.repartition(6, "page_id"), Run(spark, "warc-test"), 0, "page_id", "url", "html")
+    n = manifest.count()
+    tasks = W.read_archives(manifest, folder).withColumn("task", F.spark_partition_id())
+    assert n > 2 and tasks.select("task").distinct().count() == n and tasks.count() == 400
