@@ -19,6 +19,7 @@ from ..operators import behaviour as B
 from ..operators import charts as V
 from ..operators import distinct as D
 from ..operators import models as M
+from ..operators import moments as C
 from ..operators import prep as P
 from ..operators import sampling as S
 from ..operators import sentiment as R
@@ -97,6 +98,28 @@ def joined_exact(spark: SparkSession, sf: str) -> DataFrame:
     return W.join_daily(purchases, daily_weather(spark, sf))
 
 
+def _stored_moments(spark: SparkSession, sf: str, columns: list[str], name: str) -> DataFrame:
+    """States of the joined days by month and split, stored in two parts that
+    share months, the second appended."""
+    days = S.with_split(joined_daily(spark, sf), "event_date").withColumn("month", F.trunc("event_date", "month"))
+    days = Ledger(spark, scratch_dir(spark).rsplit("/", 1)[1]).stage(days.select("event_date", "month", "split", *columns), name)
+    store, centre = f"{scratch_dir(spark)}/store", C.centre_of(days, columns)
+    for part in (0, 1):
+        some = days.filter(F.pmod(F.dayofmonth("event_date"), F.lit(2)) == part)
+        write_results(C.co_moments(some, columns, centre, ["month", "split"]), store, name, append=True)
+    return read_results(spark, store, name)
+
+
+def stored_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """M11 from stored states."""
+    return C.correlation_from(_stored_moments(spark, sf, list(W.CORRELATION_COLUMNS), "correlation"))
+
+
+def stored_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """M12, M13 from stored states, without a fit."""
+    return C.regression_from(_stored_moments(spark, sf, [*M.REGRESSION_FEATURES, "purchase_count"], "regression"))
+
+
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and columns at each stage of the three analyses; one pass
     over each source."""
@@ -252,6 +275,8 @@ def _rq3() -> dict[str, Query]:
         "rain_analysis": lambda s, d: W.rain_analysis(joined_exact(s, d)),
         "temperature_buckets": lambda s, d: W.temperature_buckets(joined_exact(s, d)),
         "correlation_matrix": lambda s, d: W.correlation_matrix(joined_daily(s, d)),
+        "stored_correlation": stored_correlation,
+        "stored_regression": stored_regression,
         "rain_gap": lambda s, d: W.rain_gap(joined_daily(s, d)),
         "weather_coverage": lambda s, d: W.weather_coverage(weather_clean(s, d)),
         "chart_rain": lambda s, d: V.chart_rain(W.rain_analysis(joined_exact(s, d))),

@@ -452,6 +452,8 @@ def _rq3() -> dict[str, str]:
                    count(*) AS days_in_group
             FROM joined_exact GROUP BY 1"""),
         "correlation_matrix": _correlation(),
+        "stored_correlation": _correlation(),
+        "stored_regression": _regression(),
         "rain_gap": q(*WX, """
             s AS (SELECT sum(CASE WHEN rain_day = 0 THEN purchase_count END) AS s_d,
                          count_if(rain_day = 0) AS n_d,
