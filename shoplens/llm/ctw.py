@@ -36,13 +36,13 @@ from .common import Run, col
 #: Bytes of context.
 DEPTH = 5
 #: Bytes of text that share one part of the model, and of one piece of a text.
-BLOCK, PIECE = 32 << 20, 4 << 20
+BLOCK, PIECE = 16 << 20, 4 << 20
 #: Ends a text and stands before it: no byte of UTF-8.
 END = b"\xff"
 #: Distinct runs and words that a task holds before it sends them.
 HELD_RUNS, HELD_WORDS = 1 << 21, 1 << 18
 #: Bytes that are scored at once (and the piece that goes beyond them).
-SCORED_BYTES = 1 << 20
+SCORED_BYTES = 1 << 19
 #: Words beyond this length are sent as a digest.
 LONG_WORD = 24
 
@@ -337,7 +337,7 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
         runs, lp = runs[order], value[is_run][order]
         known = dict(zip(right.column("word").filter(pa.array(~is_run)).to_pylist(), value[~is_run].tolist()))
         out: list[list[np.ndarray]] = []
-        texts = left.select(["head", "body", "last"]).combine_chunks()
+        texts = left.select(["head", "body", "last"])
         filled = np.cumsum(pc.binary_length(texts.column("body")).to_numpy()) // SCORED_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(filled)]
         for first, after in zip(cuts, cuts[1:]):
@@ -388,7 +388,7 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: in
                                         "head binary, body binary, last boolean"), "pieces", codec="zstd")
     terms = run.stage(parts.select("block", "held_out", "head", "body", "last")
                       .mapInArrow(_terms(depth), "block long, run long, word binary, n long"), "terms", codec="zstd")
-    runs = run.stage(terms.filter("run is not null").groupBy("run").agg(F.sum("n").alias("n")), "runs")
+    runs = run.stage(terms.filter("run is not null").groupBy("run").agg(F.sum("n").alias("n")), "runs", codec="zstd")
     lp = run_scores(runs, depth, run)
     run.drop("runs")
     # A word has a row a block, so these windows hold no more rows than that.
