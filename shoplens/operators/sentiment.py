@@ -5,7 +5,7 @@ Inputs are clean reviews (``prep.clean_reviews``).
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ def monthly_trend(reviews: DataFrame) -> DataFrame:
     )
 
 
-def keyword_counts(
+def keyword_tokens(
     reviews: DataFrame,
     *,
     groups: Sequence[tuple[int, str]] = SENTIMENT_GROUPS,
@@ -56,20 +56,24 @@ def keyword_counts(
     text_col: str = "review_clean",
     label_col: str = "sentiment_label",
 ) -> DataFrame:
-    """Word frequencies per sentiment group over the whole cleaned text.
-
-    One pass for all groups (instead of one scan per group): the group name
-    rides along with each token, and the (group, word) count is combined
-    map-side, so frequent words cost one row per map task in the shuffle."""
+    """(sentiment_group, word): every keyword of the whole cleaned texts, in
+    one pass for all groups (instead of one scan per group)."""
     label = F.col(label_col)
     name = F.lit(None).cast("string")
     for value, group in reversed(list(groups)):
         name = F.when(label == value, group).otherwise(name)
-    words = (
+    return (
         reviews.filter(label.isin([v for v, _ in groups]))
         .select(name.alias("sentiment_group"), F.explode(tokens(text_col)).alias("word"))
         .filter(is_keyword("word", stop_words, min_length))
     )
+
+
+def keyword_counts(reviews: DataFrame, **kw) -> DataFrame:
+    """Word frequencies per sentiment group. The (group, word) count is
+    combined map-side, so frequent words cost one row per map task in the
+    shuffle."""
+    words = keyword_tokens(reviews, **kw)
     return words.groupBy("sentiment_group", "word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
@@ -79,7 +83,10 @@ def top_keywords(reviews: DataFrame, n: int = DEFAULT.keyword_top_n, **kw) -> Da
     ``row_number() <= n`` lets Spark insert a partial window-group limit
     before the shuffle, so each map task forwards at most n words per
     group, however many distinct words there are."""
-    counts = keyword_counts(reviews, **kw)
+    return _first_words(keyword_counts(reviews, **kw), n)
+
+
+def _first_words(counts: DataFrame, n: int) -> DataFrame:
     w = Window.partitionBy("sentiment_group").orderBy(F.col("frequency").desc(), F.col("word"))
     return (
         counts.withColumn("__rn", F.row_number().over(w))
@@ -88,6 +95,52 @@ def top_keywords(reviews: DataFrame, n: int = DEFAULT.keyword_top_n, **kw) -> Da
     )
 
 
+#: Words that the frequent-items sketch of a group tracks, and the share of
+#: all words, times that number, that a word it does not name may have: its
+#: estimates are off by at most 3.5 / tracked, and it names the words that are
+#: more frequent than that for certain.
+TRACKED, MISSED = 1 << 16, 2 * 3.5
+
+
+def _in_place(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def frequent_keywords(reviews: DataFrame, n: int = DEFAULT.keyword_top_n, *, tracked: int = TRACKED,
+                      stage: Callable[[DataFrame, str], DataFrame] = _in_place, **kw) -> DataFrame:
+    """A10 with a shuffle that does not grow with the vocabulary; the result
+    of ``top_keywords``.
+
+    A frequent-items sketch per group (``approx_top_k``, merged map-side)
+    names candidates, at most ``tracked`` words a group, and a second pass
+    counts those exactly: both shuffles are bounded by the sketch. A word that
+    it does not name stands at most ``MISSED * words / tracked`` times, and
+    not more often than all words that are no candidates together. If the
+    n-th candidate is more frequent than that, no word is lost; a group
+    for which this does not hold is counted in full. ``stage`` materialises
+    the two small tables; without it they are computed anew where read."""
+    words = keyword_tokens(reviews, **kw)
+    named = words.groupBy("sentiment_group").agg(
+        F.count(F.lit(1)).alias("words"),
+        F.call_function("approx_top_k", F.col("word"), F.lit(tracked), F.lit(tracked)).alias("items"))
+    named = stage(named.select("sentiment_group", "words", F.explode("items.item").alias("word")), "keyword_candidates")
+    # At most ``tracked`` words a group: a bound that no input moves.
+    counts = stage(words.join(F.broadcast(named.select("sentiment_group", "word")), ["sentiment_group", "word"])
+                   .groupBy("sentiment_group", "word").agg(F.count(F.lit(1)).alias("frequency")), "keyword_candidate_counts")
+    first = _first_words(counts, n)
+    total = named.groupBy("sentiment_group").agg(F.max("words").alias("words"))
+    seen = counts.groupBy("sentiment_group").agg(F.sum("frequency").alias("seen"))
+    last = first.groupBy("sentiment_group").agg(F.count(F.lit(1)).alias("found"), F.min("frequency").alias("least"))
+    missed = F.least(F.col("words") - F.col("seen"), F.floor(F.col("words") * F.lit(MISSED / tracked)))
+    whole = (F.col("words") == F.col("seen")) | ((F.col("found") >= n) & (F.col("least") > missed))
+    sure = total.join(seen, "sentiment_group").join(last, "sentiment_group").select("sentiment_group", whole.alias("sure"))
+    sure = stage(sure, "keyword_groups")
+    proven = sure.filter("sure").select("sentiment_group")
+    rest = words.join(F.broadcast(proven), "sentiment_group", "left_anti")
+    rest = _first_words(rest.groupBy("sentiment_group", "word").agg(F.count(F.lit(1)).alias("frequency")), n)
+    return first.join(F.broadcast(proven), "sentiment_group", "left_semi").select(*rest.columns).unionByName(rest)
+
+
 def review_length_stats(reviews: DataFrame) -> DataFrame:
     """Min / mean / max cleaned length per sentiment label."""
     n = F.length("review_clean")

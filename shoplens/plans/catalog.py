@@ -243,6 +243,8 @@ def _rq2() -> dict[str, Query]:
         "verified_stats": lambda s, d: R.verified_stats(clean_reviews(s, d)),
         "monthly_trend": lambda s, d: R.monthly_trend(clean_reviews(s, d)),
         "top_keywords": lambda s, d: R.top_keywords(clean_reviews(s, d), 50),
+        "frequent_keywords": lambda s, d: R.frequent_keywords(
+            clean_reviews(s, d), 50, stage=Ledger(s, scratch_dir(s).rsplit("/", 1)[1]).stage),
         "top_keywords_chart": lambda s, d: R.top_keywords(clean_reviews(s, d), 20),
         "chart_ratings": lambda s, d: V.chart_ratings(R.rating_distribution(clean_reviews(s, d))),
         "review_length_stats": lambda s, d: R.review_length_stats(clean_reviews(s, d)),

@@ -290,6 +290,7 @@ def _rq2() -> dict[str, str]:
             SELECT strftime(review_date, '%Y-%m') AS year_month, count(*) AS review_count, avg(rating) AS avg_rating
             FROM clean_reviews WHERE review_date IS NOT NULL GROUP BY 1"""),
         "top_keywords": _keywords(50),
+        "frequent_keywords": _keywords(50),
         "top_keywords_chart": _keywords(20),
         "chart_ratings": q(*RV, body="""
             SELECT CAST(rating AS VARCHAR) AS rating_label, rating, count(*) AS review_count

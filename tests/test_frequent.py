@@ -1,0 +1,52 @@
+"""A10 by a sketch and an exact second count, with a fallback that loses nothing."""
+
+import random
+
+import pytest
+
+from shoplens.operators import sentiment as R
+
+
+def reviews(spark, seed, vocabulary, power):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(vocabulary)]
+    weights = [(k + 1) ** -power for k in range(vocabulary)]
+    rows = [(" ".join(rng.choices(words, weights, k=40)), rng.choice([0, 1, 2, 2])) for _ in range(400)]
+    return spark.createDataFrame(rows, "review_clean string, sentiment_label int").repartition(4)
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+@pytest.mark.parametrize("vocabulary,power,tracked", [
+    (3000, 1.3, 4096),   # the sketch proves the first words
+    (200, 1.0, 1024),    # it holds every word
+    (3000, 0.0, 64),     # no word is frequent: counted in full
+    (3000, 1.0, 16),
+])
+def test_the_words_are_those_of_the_full_count(spark, vocabulary, power, tracked):
+    r = reviews(spark, vocabulary + tracked, vocabulary, power)
+    tables = {}
+
+    def stage(df, name):
+        tables[name] = spark.createDataFrame(df.collect(), df.schema)
+        return tables[name]
+
+    got = R.frequent_keywords(r, 10, tracked=tracked, stage=stage)
+    assert same(got, R.top_keywords(r, 10)) and got.columns == R.top_keywords(r, 10).columns
+    sure = {x["sure"] for x in tables["keyword_groups"].collect()}
+    # A group for which the sketch names nothing has no row: it is counted in full too.
+    assert sure == {True} if tracked > 100 else True not in sure
+    assert tables["keyword_candidates"].count() <= 2 * tracked
+
+
+def test_without_words_there_are_no_rows(spark):
+    r = spark.createDataFrame([("a an of", 2), ("", 0)], "review_clean string, sentiment_label int")
+    assert R.frequent_keywords(r, 5).count() == 0 and R.frequent_keywords(r.limit(0), 5).count() == 0
+
+
+def test_the_sketch_is_merged_before_the_shuffle(spark):
+    r = reviews(spark, 1, 100, 1.0)
+    plan = R.frequent_keywords(r, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_approx_top_k" in plan
