@@ -36,7 +36,7 @@ from .common import Run, col
 #: Bytes of context.
 DEPTH = 5
 #: Bytes of text that share one part of the model, and of one piece of a text.
-BLOCK, PIECE = 16 << 20, 4 << 20
+BLOCK, PIECE = 32 << 20, 4 << 20
 #: Ends a text and stands before it: no byte of UTF-8.
 END = b"\xff"
 #: Distinct runs and words that a task holds before it sends them.
@@ -330,6 +330,8 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
     floor = tokens + 0.5 * (distinct + 1)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        # A worker scores one block after another: what Arrow held for the last one goes.
+        pa.default_memory_pool().release_unused()
         run, value = right.column("run"), right.column("value").to_numpy()
         is_run = run.is_valid().to_numpy()
         runs = run.drop_null().to_numpy()
