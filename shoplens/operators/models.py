@@ -10,8 +10,10 @@ one-row aggregate over the test predictions.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Mapping, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
@@ -176,12 +178,22 @@ def classifier_ablation(
     """Test accuracy of each pipeline configuration on the same split.
 
     The sample is tokenised once (with and without stop words) and given to
-    ``stage``, so each configuration only hashes, weights and fits."""
+    ``stage``, so each configuration only hashes, weights and fits. The fits
+    do not depend on each other: their jobs are submitted side by side, from
+    threads that inherit the session's properties."""
     train_t, test_t = _tokens(reviews, key, fractions, label_col, train_fraction, seed, ENGLISH_STOP_WORDS, stage)
+
+    def fit(config: tuple[str, bool, bool, int]) -> PipelineModel:
+        _, use_idf, stops, n_feat = config
+        return Pipeline(stages=model_stages(words_col="words" if stops else "words_raw", label_col=label_col,
+                                            use_idf=use_idf, num_features=n_feat)).fit(train_t)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(grid))) as pool:
+        # A wrapper each: it carries this thread's properties over.
+        models = [pool.submit(inheritable_thread_target(reviews.sparkSession)(fit), config) for config in grid]
+        models = [m.result() for m in models]
     rows = None
-    for name, use_idf, stops, n_feat in grid:
-        model = Pipeline(stages=model_stages(words_col="words" if stops else "words_raw", label_col=label_col,
-                                             use_idf=use_idf, num_features=n_feat)).fit(train_t)
+    for (name, use_idf, stops, n_feat), model in zip(grid, models):
         acc = model.transform(test_t).agg(
             F.count(F.lit(1)).alias("test_rows"),
             F.round(F.avg((F.col(label_col) == F.col("prediction")).cast("int")), 4).alias("accuracy"),
