@@ -12,6 +12,7 @@ the executors.
 
 from __future__ import annotations
 
+import json
 import random
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -185,9 +186,10 @@ def examples(spark: SparkSession, each: int = 40, seed: int = 42) -> DataFrame:
                 parts = [rng.choice(words) for _ in range(n)]
                 rows.append((0, "".join(x.title() for x in parts) if glue == "camel" else
                              rng.choice(["", "/"]) * (glue == "/") + glue.join(parts)))
-    made = F.array(*[F.struct(F.lit(y).alias("secret"), F.lit(x).alias("candidate"),
-                              F.lit(rng.choice(["", "is", "=", "with"])).alias("before"), F.lit(-k).cast("long").alias("doc_id"))
-                     for k, (y, x) in enumerate(rows)])
+    # One literal of JSON: a thousand structs of literals take Spark longer to plan than to read.
+    made = [{"secret": y, "candidate": x, "before": rng.choice(["", "is", "=", "with"]), "doc_id": -k}
+            for k, (y, x) in enumerate(rows)]
+    made = F.from_json(F.lit(json.dumps(made)), "array<struct<secret:int,candidate:string,before:string,doc_id:bigint>>")
     return spark.range(1).select(F.explode(made).alias("e")).select(
         "e.*", F.lit(0).cast("long").alias("body"), F.lit(0).alias("nth"), F.lit("").alias("name"), F.lit("").alias("quote"),
         F.lit("").alias("after"))
