@@ -326,43 +326,62 @@ def run_scores(runs: DataFrame, depth: int, run: Run) -> DataFrame:
 
 
 def _scored(depth: int, tokens: int, distinct: int, ends: int):
-    """A block's pieces and its terms of the model → scores of the pieces."""
+    """Rows sorted by (block, is_text): each block's terms of the model, then
+    its pieces → scores of the pieces. A task holds the terms of one block and
+    a batch of its pieces."""
     floor = tokens + 0.5 * (distinct + 1)
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        # A worker scores one block after another: what Arrow held for the last one goes.
-        pa.default_memory_pool().release_unused()
-        run, value = right.column("run"), right.column("value").to_numpy()
-        is_run = run.is_valid().to_numpy()
-        runs = run.drop_null().to_numpy()
-        order = np.argsort(runs, kind="stable")
-        runs, lp = runs[order], value[is_run][order]
-        known = dict(zip(right.column("word").filter(pa.array(~is_run)).to_pylist(), value[~is_run].tolist()))
-        out: list[list[np.ndarray]] = []
-        texts = left.select(["head", "body", "last"])
-        filled = np.cumsum(pc.binary_length(texts.column("body")).to_numpy()) // SCORED_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(filled)]
-        for first, after in zip(cuts, cuts[1:]):
-            heads, bodies, last = (c.to_pylist() for c in texts.slice(first, after - first).columns)
-            end = np.array(last)
-            # Every piece has a run or is a text's end; every text ends in a token.
-            found, sizes = runs_of([h + t + (END if e else b"") for h, t, e in zip(heads, bodies, last)], depth)
-            # Distinct runs are looked up in order, which keeps to near memory.
-            some, of = np.unique(found.view(np.int64), return_inverse=True)
-            score = np.add.reduceat(lp[np.searchsorted(runs, some)][of], np.cumsum(sizes) - sizes)
-            words = [t.split() for t in bodies]
-            c = np.array([known[w] if len(w) <= LONG_WORD else known[word_key(w)] for ws in words for w in ws], np.float64)
-            size = np.array([len(ws) for ws in words])
-            sums = [np.concatenate(([0.0], np.cumsum(x))) for x in (np.log10((c + 0.5) / floor), c > 0)]
-            stop = np.cumsum(size)
-            base, seen = (x[stop] - x[stop - size] for x in sums)
-            base += end * math.log10((ends + 0.5) / floor)
-            out.append([sizes - end, size + end, seen.astype(np.int64) + end * (ends > 0), base, score])
-        columns = [np.concatenate(c) for c in zip(*out)]
-        return pa.Table.from_arrays(
-            [left.column("doc_id"), left.column("row"), left.column("held_out"),
-             *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]],
-            ["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score"])
+    names = ["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score"]
+
+    def scores(heads: list, bodies: list, last: list, runs: np.ndarray, lp: np.ndarray, known: dict) -> list[np.ndarray]:
+        end = np.array(last)
+        # Every piece has a run or is a text's end; every text ends in a token.
+        found, sizes = runs_of([h + t + (END if e else b"") for h, t, e in zip(heads, bodies, last)], depth)
+        # Distinct runs are looked up in order, which keeps to near memory.
+        some, of = np.unique(found.view(np.int64), return_inverse=True)
+        score = np.add.reduceat(lp[np.searchsorted(runs, some)][of], np.cumsum(sizes) - sizes)
+        words = [t.split() for t in bodies]
+        c = np.array([known[w] if len(w) <= LONG_WORD else known[word_key(w)] for ws in words for w in ws], np.float64)
+        size = np.array([len(ws) for ws in words])
+        sums = [np.concatenate(([0.0], np.cumsum(x))) for x in (np.log10((c + 0.5) / floor), c > 0)]
+        stop = np.cumsum(size)
+        base, seen = (x[stop] - x[stop - size] for x in sums)
+        base += end * math.log10((ends + 0.5) / floor)
+        return [sizes - end, size + end, seen.astype(np.int64) + end * (ends > 0), base, score]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, known, runs, lp = None, [], {}, None, None
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for first, after in zip(cuts, cuts[1:]):
+                some = batch.slice(first, after - first)
+                if not len(some):
+                    continue
+                if blocks[first] != block:
+                    block, parts, known, runs = blocks[first], [], {}, None
+                    # What Arrow held for the block before goes.
+                    pa.default_memory_pool().release_unused()
+                texts = some.filter(pc.equal(some.column("is_text"), 1)).column("piece").flatten()
+                terms = some.slice(0, len(some) - len(texts[0]))
+                if len(terms):
+                    run, value = terms.column("run"), terms.column("value").to_numpy(zero_copy_only=False)
+                    is_run = run.is_valid().to_numpy(zero_copy_only=False)
+                    parts.append((run.drop_null().to_numpy(), value[is_run]))
+                    known.update(zip(terms.column("word").filter(pa.array(~is_run)).to_pylist(), value[~is_run].tolist()))
+                if not len(texts[0]):
+                    continue
+                if runs is None:
+                    runs, lp = (np.concatenate(x) for x in zip(*parts))
+                    order = np.argsort(runs, kind="stable")
+                    runs, lp, parts = runs[order], lp[order], []
+                ids, rows, held, heads, bodies, last = texts
+                filled = np.cumsum(pc.binary_length(bodies).to_numpy(zero_copy_only=False)) // SCORED_BYTES
+                at = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(filled)]
+                out = [scores(*[x.slice(p, q - p).to_pylist() for x in (heads, bodies, last)], runs, lp, known)
+                       for p, q in zip(at, at[1:])]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [ids, rows, held, *[pa.array(np.concatenate(c), t) for c, t in zip(zip(*out), kinds)]], names)
     return score
 
 
@@ -406,10 +425,15 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: in
     model = (terms.filter("run is not null").select("block", "run").join(lp.hint("merge"), "run")
              .select("block", "run", F.lit(None).cast("binary").alias("word"), F.col("lp").alias("value"))
              .unionByName(words.select("block", F.lit(None).cast("long").alias("run"), "word", "value")))
-    scored = (parts.groupBy("block").cogroup(model.groupBy("block"))
-              .applyInArrow(_scored(depth, tokens, distinct, ends),
-                            f"doc_id {id_type}, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, "
-                            "base_score double, score double"))
+    piece = F.struct("doc_id", "row", "held_out", "head", "body", "last")
+    texts = parts.select("block", F.lit(1).alias("is_text"), F.lit(None).cast("long").alias("run"),
+                         F.lit(None).cast("binary").alias("word"), F.lit(None).cast("double").alias("value"), piece.alias("piece"))
+    no_piece = F.lit(None).cast(texts.schema["piece"].dataType)
+    both = model.select("block", F.lit(0).alias("is_text"), "run", "word", "value", no_piece.alias("piece")).unionByName(texts)
+    scored = (both.repartition("block").sortWithinPartitions("block", "is_text")
+              .mapInArrow(_scored(depth, tokens, distinct, ends),
+                          f"doc_id {id_type}, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, "
+                          "base_score double, score double"))
     sums = [F.sum(c).alias(c) for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")]
     out = (scored.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
            .withColumn("train_tokens", F.lit(tokens).cast("long"))
