@@ -22,6 +22,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -77,6 +78,32 @@ def runs_of(sequences: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]
     return run[within >= depth], lengths - depth
 
 
+def looked_up(found: np.ndarray, runs: np.ndarray, lp: np.ndarray, depth: int) -> np.ndarray:
+    """``lp`` of each found run, ``runs`` (all unsigned) ascending. Some runs
+    at a time are sorted with their places in the bits that a run leaves free,
+    so that the search keeps to near memory and takes a repeated run once."""
+    room = min(16, 64 - 8 * (depth + 1))
+    places, mask = np.arange(1 << room, dtype=np.uint64), np.uint64((1 << room) - 1)
+    out = np.empty(len(found))
+    for k in range(0, len(found), 1 << room):
+        part = found[k:k + (1 << room)]
+        packed = np.sort((part << np.uint64(room)) | places[:len(part)])
+        run = packed >> np.uint64(room)
+        new = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+        values = lp[np.searchsorted(runs, run[new])]
+        out[k:k + len(part)][(packed & mask).astype(np.int64)] = np.repeat(values, np.diff(np.append(new, len(run))))
+    return out
+
+
+class WordCounts(dict):
+    """Training counts of words by ``word_key``, looked up by the word."""
+
+    def __missing__(self, word: bytes) -> float:
+        if len(word) <= LONG_WORD:
+            raise KeyError(word)
+        return self[word_key(word)]
+
+
 def _blocks(depth: int, block: int):
     """Documents → pieces with the block they belong to, lower-cased."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +181,8 @@ def _terms(depth: int):
                     for r in some:
                         tokens = r["body"].split()
                         if held:
-                            words.update(dict.fromkeys(tokens, 0))
+                            for w in set(tokens).difference(words):
+                                words[w] = 0
                         else:
                             words.update(tokens)
                 if sum(len(r) for r, _ in parts) > HELD_RUNS:
@@ -332,16 +360,14 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
     floor = tokens + 0.5 * (distinct + 1)
     names = ["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base_score", "score"]
 
-    def scores(heads: list, bodies: list, last: list, runs: np.ndarray, lp: np.ndarray, known: dict) -> list[np.ndarray]:
+    def scores(heads: list, bodies: list, last: list, runs: np.ndarray, lp: np.ndarray, known: WordCounts) -> list[np.ndarray]:
         end = np.array(last)
         # Every piece has a run or is a text's end; every text ends in a token.
         found, sizes = runs_of([h + t + (END if e else b"") for h, t, e in zip(heads, bodies, last)], depth)
-        # Distinct runs are looked up in order, which keeps to near memory.
-        some, of = np.unique(found.view(np.int64), return_inverse=True)
-        score = np.add.reduceat(lp[np.searchsorted(runs, some)][of], np.cumsum(sizes) - sizes)
+        score = np.add.reduceat(looked_up(found, runs, lp, depth), np.cumsum(sizes) - sizes)
         words = [t.split() for t in bodies]
-        c = np.array([known[w] if len(w) <= LONG_WORD else known[word_key(w)] for ws in words for w in ws], np.float64)
         size = np.array([len(ws) for ws in words])
+        c = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.float64, int(size.sum()))
         sums = [np.concatenate(([0.0], np.cumsum(x))) for x in (np.log10((c + 0.5) / floor), c > 0)]
         stop = np.cumsum(size)
         base, seen = (x[stop] - x[stop - size] for x in sums)
@@ -349,7 +375,7 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
         return [sizes - end, size + end, seen.astype(np.int64) + end * (ends > 0), base, score]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, known, runs, lp = None, [], {}, None, None
+        block, parts, known, runs, lp = None, [], WordCounts(), None, None
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
@@ -358,7 +384,7 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
                 if not len(some):
                     continue
                 if blocks[first] != block:
-                    block, parts, known, runs = blocks[first], [], {}, None
+                    block, parts, known, runs = blocks[first], [], WordCounts(), None
                     # What Arrow held for the block before goes.
                     pa.default_memory_pool().release_unused()
                 texts = some.filter(pc.equal(some.column("is_text"), 1)).column("piece").flatten()
@@ -373,7 +399,7 @@ def _scored(depth: int, tokens: int, distinct: int, ends: int):
                 if runs is None:
                     runs, lp = (np.concatenate(x) for x in zip(*parts))
                     order = np.argsort(runs, kind="stable")
-                    runs, lp, parts = runs[order], lp[order], []
+                    runs, lp, parts = runs[order].view(np.uint64), lp[order], []
                 ids, rows, held, heads, bodies, last = texts
                 filled = np.cumsum(pc.binary_length(bodies).to_numpy(zero_copy_only=False)) // SCORED_BYTES
                 at = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(filled)]

@@ -147,3 +147,20 @@ def test_held_out_texts_are_told_from_noise(spark):
     assert t.loc[t["held_out"], "bits_per_byte"].median() < 2.5 and (t["score"] < 0).all()
     base = t.loc[~t["held_out"], "n_tokens"].sum()
     assert base == t["train_tokens"].iloc[0]
+
+
+@pytest.mark.parametrize("depth", [1, 5, 6])
+def test_lookups_of_runs_and_words(depth):
+    rng = np.random.default_rng(depth)
+    texts = [bytes(rng.integers(97, 101, n, np.uint8)) for n in (0, 3, 70_000, 200_000)]
+    found, _ = C.runs_of([C.END * depth + t + C.END for t in texts], depth)
+    runs = np.unique(found)
+    lp = rng.random(len(runs))
+    at = {int(r): x for r, x in zip(runs, lp)}
+    assert C.looked_up(found, runs, lp, depth).tolist() == [at[int(r)] for r in found]
+    assert not len(C.looked_up(found[:0], runs, lp, depth))
+    long = b"w" * (C.LONG_WORD + 1)
+    counts = C.WordCounts({b"a": 2.0, C.word_key(long): 3.0})
+    assert list(map(counts.__getitem__, [b"a", long])) == [2.0, 3.0]
+    with pytest.raises(KeyError):
+        counts[b"b"]
