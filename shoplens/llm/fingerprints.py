@@ -9,13 +9,14 @@ lengths of the two texts.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +25,20 @@ from .common import bound_batches, col
 #: One in so many hashes is kept. Texts of 50 to 100 words still have some 40,
 #: enough to tell half copies (measured errors: README).
 SCALE = 2
+#: Bytes of text in a range of documents and in a task, the most ranges, and
+#: the rows by which each range's bound is estimated. They shape tasks, not results.
+RANGE_BYTES, TASK_BYTES, MOST_RANGES, BOUND_ROWS = 4 << 20, 16 << 20, 1 << 16, 16
 
 
 def sketch(text: str | None, shingle: int = 5, scale: int = SCALE) -> np.ndarray:
-    """Sorted hashes (uint64) of a text: XXH64, seed 42, of its shingles of
-    ``shingle`` words joined by a space (fewer words: all of them). A text
-    without words, or null, has none."""
+    """Sorted hashes (uint32) of a text: the upper half of XXH64, seed 42, of
+    its shingles of ``shingle`` words joined by a space (fewer words: all of
+    them). A text without words, or null, has none. A hash meets one of n
+    others by chance in n of 2^32 / ``scale`` cases: one in 2,000 for a text
+    of a million kept shingles. Long texts are hashed 65,536 shingles at a time."""
     words = text.encode("utf-8", "surrogatepass").split() if text else []
     if not words:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint32)
     joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -40,15 +46,16 @@ def sketch(text: str | None, shingle: int = 5, scale: int = SCALE) -> np.ndarray
     digest, kept, least = xxhash.xxh64_intdigest, [], []
     for k in range(0, n, 65536):
         h = np.array([digest(joined[a:b], 42) for a, b in zip(first[k:k + 65536], last[k:k + 65536])], np.uint64)
+        h = (h >> np.uint64(32)).astype(np.uint32)
         least.append(h.min())
-        kept.append(h[h < np.uint64((1 << 64) // scale)])
-    return np.unique(np.concatenate([*kept, [min(least)]]).astype(np.uint64))
+        kept.append(np.unique(h[h < (1 << 32) // scale]))
+    return np.unique(np.concatenate([*kept, np.array([min(least)], np.uint32)]))
 
 
 def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """Sketch of what two sketched sets of shingles hold together."""
     both = np.union1d(a, b)
-    return both[(both < np.uint64((1 << 64) // scale)) | (both == both[:1])]
+    return both[(both < (1 << 32) // scale) | (both == both[:1])]
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
@@ -65,14 +72,20 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def to_text(s: np.ndarray) -> str:
-    """A sketch as 16 hex digits for each hash, ascending."""
-    return s.astype(">u8").tobytes().hex()
+    """A sketch as base64 of its hashes, ascending, four bytes each (big-endian)."""
+    return base64.b64encode(s.astype(">u4").tobytes()).decode("ascii")
+
+
+def from_text(s: str) -> np.ndarray:
+    """The sketch that ``to_text`` wrote."""
+    return np.frombuffer(base64.b64decode(s), ">u4").astype(np.uint32)
 
 
 def fingerprint(docs: DataFrame, shingle: int = 5, scale: int = SCALE, out: str = "fingerprint",
                 text_col: str = "text") -> DataFrame:
-    """``docs`` with the sketch of each whole text as hex digits in ``out``
-    (null, empty or wordless text: the empty string)."""
+    """``docs`` with the sketch of each whole text in base64 in ``out`` (null,
+    empty or wordless text: the empty string; a long one: as many hashes as
+    its shingles give)."""
     bound_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
@@ -121,6 +134,55 @@ def _compare_runs(shingle: int, scale: int):
     return compare
 
 
+@dataclass
+class Bounds:
+    """Where ranges of documents begin, in their order: ids and text hashes of
+    the named ones, then text hashes of those without an id."""
+
+    numbers: np.ndarray
+    bodies: np.ndarray
+    unnamed: np.ndarray
+
+    def place(self, unnamed: np.ndarray, number: np.ndarray, body: np.ndarray) -> np.ndarray:
+        """The range of each document: how many bounds are not after it."""
+        low, high = (np.searchsorted(self.numbers, number, side) for side in ("left", "right"))
+        out = low.copy()
+        tied = (high > low) & ~unnamed  # the id is a bound's: its text's hash decides
+        for k in np.unique(low[tied]):
+            at = tied & (low == k)
+            out[at] += np.searchsorted(self.bodies[k:high[at][0]], body[at], "right")
+        out[unnamed] = len(self.numbers) + np.searchsorted(self.unnamed, body[unnamed], "right")
+        return out.astype(np.int64)
+
+
+def _range_bounds(d: DataFrame, ranges: int, rows: int) -> Bounds:
+    """Bounds of ``ranges`` ranges of about equal bytes, from about
+    ``BOUND_ROWS`` rows a range, chosen by hash."""
+    spread = 1 << 40
+    chosen = F.pmod(F.xxhash64(F.lit(1), "number", "body"), F.lit(spread)) < min(spread, spread * BOUND_ROWS * ranges // max(1, rows))
+    found = d.filter(chosen).select("unnamed", "number", "body", "bytes").toPandas()
+    found = found.sort_values(["unnamed", "number", "body"], ignore_index=True)
+    total = (found["bytes"] + 1).cumsum().to_numpy()
+    at = np.searchsorted(total, [total[-1] * k / ranges for k in range(1, ranges)]) if len(found) else []
+    cuts = found.iloc[np.unique(at)].drop_duplicates(["unnamed", "number", "body"]) if len(at) else found[:0]
+    void = cuts["unnamed"].to_numpy(bool)
+    numbers, bodies = cuts["number"].to_numpy(np.int64), cuts["body"].to_numpy(np.int64)
+    return Bounds(numbers[~void], bodies[~void], bodies[void])
+
+
+def _with_range(d: DataFrame, ranges: int | None = None) -> tuple[DataFrame, int]:
+    """``d`` with each document's range, and in how many tasks to read them."""
+    rows, size = d.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    ranges = ranges or min(MOST_RANGES, max(8, -(-size // RANGE_BYTES)))
+    bounds = _range_bounds(d, ranges, rows)
+
+    @F.pandas_udf("long")
+    def place(unnamed: pd.Series, number: pd.Series, body: pd.Series) -> pd.Series:
+        return pd.Series(bounds.place(unnamed.to_numpy(bool), number.to_numpy(np.int64), body.to_numpy(np.int64)))
+
+    return d.withColumn("range", place("unnamed", "number", "body")), min(ranges, max(8, -(-size // TASK_BYTES)))
+
+
 def compare_with_next(docs: DataFrame, shingle: int = 5, scale: int = SCALE, ranges: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, the fingerprints of the
@@ -128,28 +190,23 @@ def compare_with_next(docs: DataFrame, shingle: int = 5, scale: int = SCALE, ran
     ascending doc_id, after the last the first), edited_sha256, and how much
     the fingerprint is like the edited one and the next document's.
 
-    Documents are dealt to ``ranges`` ranges of ids (default: four for each
-    shuffle partition), whose bounds are percentiles of the ids; each range is
-    read in order and ends with a copy of the first document after it. So one
-    shuffle moves each text once.
+    Documents are dealt to ``ranges`` ranges of (id, text's hash) of about
+    equal bytes (default: one for 4 MB, at most 65,536), whose bounds come
+    from a small sample of the ids, as those of a range partitioning do; each
+    range is read in order and ends with a copy of the first document after
+    it. So one shuffle moves each text once.
 
     Null texts are empty. Rows without an id come last; rows that share an id
-    (or have none) follow each other by their text's hash. A single document is its
-    own next one. Extra columns are ignored; an empty table gives no rows."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (or have none) follow each other by their text's hash, and may be in
+    several ranges; only rows equal in both share one for sure. A single
+    document is its own next one. Two texts, however long, are held at a time.
+    Extra columns are ignored; an empty table gives no rows."""
+    bound_batches(docs.sparkSession)
     d = docs.select(col(id_col).isNull().alias("unnamed"), F.coalesce(col(id_col).cast("long"), F.lit(0)).alias("number"),
                     F.coalesce(col(text_col), F.lit("")).alias("text"))
-    cuts = d.filter("not unnamed").select(F.percentile_approx(
-        "number", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
-    # As doubles, neighbouring large ids may fall together; the order stays.
-    splits = [-float("inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
-    place = F.when(F.col("unnamed"), F.lit(float("inf"))).otherwise(F.col("number").cast("double"))
-    split = Bucketizer(splits=splits, inputCol="_place", outputCol="_range")
     order = ["unnamed", "number", "body"]
-    d = split.transform(d.withColumn("_place", place)).select(
-        F.col("_range").cast("long").alias("range"), "unnamed", "number", F.xxhash64("text").alias("body"), "text")
+    d, tasks = _with_range(d.select("unnamed", "number", F.xxhash64("text").alias("body"),
+                                    F.octet_length("text").cast("long").alias("bytes"), "text"), ranges)
     # The first document of each range, one row a range, also ends the range
     # before it that has any; that of the first range ends the last one.
     firsts = d.groupBy("range").agg(F.min(F.struct(*order)).alias("first")).select("range", "first.*")
@@ -157,6 +214,7 @@ def compare_with_next(docs: DataFrame, shingle: int = 5, scale: int = SCALE, ran
     ends = firsts.withColumn("end", F.coalesce(F.lead("range").over(down), F.first("range").over(down)))
     ahead = (d.join(F.broadcast(ends), ["range", *order]).dropDuplicates(["range"])
              .select(F.col("end").alias("range"), *order, "text"))
-    dealt = d.withColumn("ahead", F.lit(False)).unionByName(ahead.withColumn("ahead", F.lit(True)))
-    return (dealt.repartition("range").sortWithinPartitions("range", "ahead", *order)
+    dealt = d.withColumn("ahead", F.lit(False)).select("range", "ahead", *order, "text").unionByName(
+        ahead.withColumn("ahead", F.lit(True)))
+    return (dealt.repartition(tasks, "range").sortWithinPartitions("range", "ahead", *order)
             .select("range", "ahead", "unnamed", "number", "text").mapInPandas(_compare_runs(shingle, scale), _OUT))
