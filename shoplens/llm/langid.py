@@ -99,11 +99,14 @@ def _kernel(sets: list[np.ndarray], vocabulary: np.ndarray, presence: np.ndarray
 
 def fit(sets: list[np.ndarray], labels: list[str], order: int, landmarks: int = 192, ridge: float = 1e-2) -> LanguageModel:
     """Model from n-gram sets and their languages, in this order: the first
-    texts of each language become its share of the landmarks."""
+    texts of each language become its share of the landmarks, so there are
+    at most ``landmarks`` of these; more languages than that are refused."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], order, np.empty(0, np.int64), np.empty((0, 0), np.uint8), np.empty(0), np.empty((0, 0)))
-    share = max(4, landmarks // len(languages))
+    if len(languages) > landmarks:
+        raise ValueError(f"{len(languages)} languages for {landmarks} landmarks")
+    share = landmarks // len(languages)
     seen: dict[str, int] = {}
     chosen = []
     for k, name in enumerate(labels):
@@ -135,12 +138,16 @@ def train(docs: DataFrame, per_language: int = 200, order: int = 3, landmarks: i
     A bounded sample is learned from: about ``per_language`` whole texts of
     each language, those first by the hash of id and text, so that reruns
     learn the same. Only counts and the sample's n-grams come to the driver.
-    Texts without letters teach nothing; without labelled rows every
-    prediction is undetermined."""
+    A label column with more than ``landmarks`` distinct values fails: it
+    holds no languages. Texts without letters teach nothing; without labelled
+    rows every prediction is undetermined."""
     bound_batches(docs.sparkSession)
     rows = docs.select(col(text_col).alias("text"), col(label_col).alias("label"), col(id_col).alias("id")).filter(
         "label is not null and text is not null")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(landmarks + 1)
+    counts = {r["label"]: r["n"] for r in counted.collect()}
+    if len(counts) > landmarks:
+        raise ValueError(f"{label_col} holds over {landmarks} languages, the number of landmarks")
     if not counts:
         return fit([], [], order)
     spread = 1 << 40
@@ -169,7 +176,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang
     is null, empty or has no letters) and ``score_out`` (the language's
     regression value moved from -1..1 to 0..1 and cut there; 0 for ``und``).
     Only the text is read. Columns of these names are replaced, all others
-    stay; equal texts get equal results; an empty table gives no rows."""
+    stay; equal texts get equal results; an empty table gives no rows. A long
+    text is taken apart a million characters at a time."""
     bound_batches(docs.sparkSession)
 
     @F.pandas_udf("lang string, score double")

@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, the kernel by hand, edges."""
 
 import numpy as np
+import pytest
 
 from shoplens.llm import langid as L
 from shoplens.llm import queries as Q
@@ -81,3 +82,13 @@ def test_edges(spark):
     assert none.languages == []
     assert [r["lang_pred"] for r in L.identify(docs.limit(3), none).collect()] == ["und"] * 3
     assert L.identify(cases.documents(spark, []), m).count() == 0
+
+
+def test_more_labels_than_landmarks_are_refused(spark):
+    rows = [(i, f"some words of {chr(97 + i)}", f"label {i}", "a", 0) for i in range(7)]
+    docs = cases.documents(spark, rows)
+    assert len(L.train(docs, landmarks=7).sizes) == 7
+    with pytest.raises(ValueError, match="landmarks"):
+        L.train(docs, landmarks=6)
+    with pytest.raises(ValueError, match="landmarks"):
+        L.fit([np.array([1])] * 3, ["a", "b", "c"], 1, landmarks=2)
