@@ -135,24 +135,29 @@ def calibrate(scores: np.ndarray, good: np.ndarray, lose: float) -> float:
     return float(np.quantile(scores[good], 1 - lose, method="higher")) if good.any() else 1.0
 
 
-def limit_of(scores: DataFrame, lose: float, accuracy: int = 10_000) -> float:
+def limit_of(scores: DataFrame, lose: float, accuracy: int = 10_000, most: int = 10_000) -> float:
     """``calibrate`` over all rows of ``scores`` (score double: that of a good
     row), exactly: approximate percentiles, whose rank is off by one in
-    ``accuracy`` at most, bound the limit from both sides; only the distinct
-    scores between them, a few in ``accuracy``, come to the driver."""
+    ``accuracy`` at most, bound the limit from both sides. It is one of them,
+    or lies between; there the search goes on, until at most ``most`` rows are
+    left, and only these come to the driver."""
     n = scores.count()
-    if not n:
-        return 1.0
-    rank = math.ceil((1 - lose) * (n - 1))  # from 0
-    at = (rank + 1) / n
-    low, high = scores.agg(F.percentile_approx("score", [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)],
-                                               accuracy)).first()[0]
-    below = scores.filter(F.col("score") < low).count()
-    for r in scores.filter(F.col("score").between(low, high)).groupBy("score").count().orderBy("score").collect():
-        below += r["count"]
-        if below > rank:
-            return float(r["score"])
-    raise AssertionError("the limit is not between its bounds")
+    rank = math.ceil((1 - lose) * (n - 1))  # from 0, among the rows that are left
+    score = F.col("score")
+    while n > most:
+        at = (rank + 1) / n
+        low, high = scores.agg(F.percentile_approx(score, [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)],
+                                                   accuracy)).first()[0]
+        under, upto, before, through = scores.agg(*[F.count_if(c) for c in (
+            score < low, score <= low, score < high, score <= high)]).first()
+        if under <= rank < upto:
+            return float(low)
+        if before <= rank < through:
+            return float(high)
+        if not upto <= rank < before:
+            raise AssertionError("the limit is not between its bounds")
+        scores, rank, n = scores.filter((score > low) & (score < high)), rank - upto, before - upto
+    return sorted(r["score"] for r in scores.collect())[rank] if n else 1.0
 
 
 def sample_rows(rows: DataFrame, about: int, *key: str) -> DataFrame:
@@ -180,7 +185,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, lose: float = 0.01, sampl
     from, only the base rules reject. Labels that are null or name no document
     are not used; several labels of one id all count, but equal labelled rows
     count once. Equal texts get
-    equal results. Extra columns are ignored; an empty table gives no rows."""
+    equal results; a long one is read whole. Extra columns are ignored; an empty table gives no rows."""
     run = Run(docs.sparkSession, "quality")
 
     @F.pandas_udf(STATISTICS)

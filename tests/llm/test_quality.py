@@ -104,3 +104,13 @@ def test_limit_is_the_exact_order_statistic(spark):
         got = L.limit_of(spark.createDataFrame(pd.DataFrame({"score": scores})), lose, 100)
         assert got == np.quantile(scores, 1 - lose, method="higher") == L.calibrate(scores, scores >= 0, lose)
     assert L.limit_of(spark.createDataFrame([], "score double"), 0.01) == 1.0
+
+
+def test_limit_is_found_with_few_rows_on_the_driver(spark):
+    rng = np.random.default_rng(8)
+    ties = np.concatenate([np.full(4000, 0.25), np.full(4000, 0.75), 0.25 + rng.random(3) / 4, [0.1, 0.9]])
+    for scores, loses in ((np.round(rng.random(20_000), 12), (0.3, 0.01, 0.0)), (ties, (0.4999, 0.5, 0.2, 0.0, 0.99999)),
+                          (np.full(3000, 0.5), (0.01,))):
+        rows = spark.createDataFrame(pd.DataFrame({"score": scores}))
+        for lose in loses:
+            assert L.limit_of(rows, lose, 100, most=20) == np.quantile(scores, 1 - lose, method="higher")
