@@ -157,12 +157,14 @@ def _terms(depth: int):
                 yield out(block, runs=runs.view(np.int64), n=n)
 
         def sent_words():
-            sums = Counter()
+            sums = {w: n for w, n in words.items() if len(w) <= LONG_WORD}
             for w, n in words.items():
-                sums[word_key(w)] += n
+                if len(w) > LONG_WORD:
+                    sums[word_key(w)] = sums.get(word_key(w), 0) + n
             words.clear()
             if sums:
-                yield out(block, words=sorted(sums), n=[sums[w] for w in sorted(sums)])
+                order = sorted(sums)
+                yield out(block, words=order, n=list(map(sums.__getitem__, order)))
 
         for batch in batches:
             blocks = batch.column(0).to_numpy()
@@ -181,8 +183,9 @@ def _terms(depth: int):
                     for r in some:
                         tokens = r["body"].split()
                         if held:
-                            for w in set(tokens).difference(words):
-                                words[w] = 0
+                            for w in tokens:
+                                if w not in words:
+                                    words[w] = 0
                         else:
                             words.update(tokens)
                 if sum(len(r) for r, _ in parts) > HELD_RUNS:
